@@ -207,7 +207,7 @@ def statistics(texts: list[str]) -> tuple[dict[str, np.ndarray], np.ndarray]:
     n_vowels, n_latin = count(vowel), count(latin)
     scrambled = (n_letters >= 30) & (n_latin * 4 >= n_letters * 3) & (n_vowels < 0.22 * n_latin)
     noise = plain & ~listed & (line_common == 0) & (chars >= 12) & (
-        ((n_letters + n_kanji + n_digits) * 3 < chars) | (n_letters > 25 * line_words) | scrambled
+        ((n_letters + n_kanji + n_digits) * 3 < chars) | (n_letters > 25 * line_words) | scrambled | ((chars >= 40) & (n_digits * 10 > chars * 8))
     )
     rest = ~tabular & ~listed & ~noise
 
