@@ -57,13 +57,11 @@ def looks_like_payment(text: Column) -> Column:
 
 def line_items(text: Column) -> Column:
     """The lines that are a description and an amount."""
-    lines = F.filter(F.split(text, r"\r\n|[\n\r]"), lambda x: x.rlike(ITEM))
-    item = lambda x: F.struct(
-        F.trim(F.regexp_extract(x, ITEM, 1)).alias("description"),
-        amount(F.regexp_extract(x, ITEM, 2)).alias("amount"),
-        currency(F.regexp_extract(x, ITEM, 2)).alias("currency"),
-    )
-    return F.filter(F.transform(lines, item), lambda x: x["amount"].isNotNull())
+    # one match of the costly pattern a line: its groups come back parted by a control character
+    lines = F.split(text, r"\r\n|[\n\r]")
+    parted = F.filter(F.transform(lines, lambda x: F.split(F.regexp_replace(x, ITEM, "$1\u0001$2"), "\u0001")), lambda x: F.size(x) == 2)
+    item = lambda x: F.struct(F.trim(x[0]).alias("description"), amount(x[1]).alias("amount"), currency(x[1]).alias("currency"))
+    return F.filter(F.transform(parted, item), lambda x: x["amount"].isNotNull())
 
 
 def clean_items(items: Column) -> Column:

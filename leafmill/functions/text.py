@@ -6,7 +6,7 @@ in every SQL engine; the same expressions take unfolded text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Below this score the text layer of a page is not good enough.
@@ -52,18 +52,16 @@ def quality_parts(text: Column) -> dict[str, Column]:
     lines = filled_lines(body)
     return {
         "size": F.length(body),
-        "alpha": share(F.length(F.regexp_replace(body, r"[^\p{L}]", "")), F.length(body)),
-        "printable": share(F.length(F.regexp_replace(body, r"[\p{C}\p{Z}&&[^ ]]", "")), F.length(body)),
+        "alpha": share(F.length(F.regexp_replace(body, r"[^\p{L}]+", "")), F.length(body)),
+        "printable": share(F.length(F.regexp_replace(body, r"[\p{C}\p{Z}&&[^ ]]+", "")), F.length(body)),
         "unique": share(F.size(F.array_distinct(F.split(body, ""))), F.least(F.length(body), F.lit(200))),
         "short_lines": share(F.size(F.filter(lines, lambda x: F.length(x) <= 2)), F.size(lines)),
-        "spaces": share(F.length(F.regexp_replace(text, r"(?U)\S", "")), F.greatest(F.lit(1), F.length(text))),
+        "spaces": share(F.length(F.regexp_replace(text, r"(?U)\S+", "")), F.greatest(F.lit(1), F.length(text))),
         "words": share(F.regexp_count(body, F.lit(WORD_OF_THREE)), F.greatest(F.lit(1.0), F.length(body) / 5.0)),
     }
 
 
-def quality_score(text: Column) -> Column:
-    """0 to 1: letters, printable characters, variety, line lengths, white space and words; 0 for null and blank texts."""
-    p = quality_parts(text)
+def _score(p: dict[str, Column]) -> Column:
     one = F.lit(1.0)
     score = (
         0.25 * F.least(one, p["alpha"] / 0.5)
@@ -78,17 +76,34 @@ def quality_score(text: Column) -> Column:
     return F.when(size == 0, 0.0).when(size < 30, 0.1).otherwise(clamped)
 
 
-def text_layer_fault(text: Column) -> Column:
-    """Why a text layer is not good enough, or null where it is; the reasons are tried in this order."""
-    p = quality_parts(text)
+def _fault(p: dict[str, Column]) -> Column:
     return (
         F.when(F.coalesce(p["size"], F.lit(0)) < 30, "empty_or_near_empty")
         .when(p["alpha"] < 0.20, "low_alpha_ratio")
         .when(p["short_lines"] > 0.5, "vertical_or_fragmented_text")
-        .when(quality_score(text) < QUALITY_LEAST, "bad_text_layer")
+        .when(_score(p) < QUALITY_LEAST, "bad_text_layer")
     )
 
 
+def quality_score(text: Column) -> Column:
+    """0 to 1: letters, printable characters, variety, line lengths, white space and words; 0 for null and blank texts."""
+    return _score(quality_parts(text))
+
+
+def text_layer_fault(text: Column) -> Column:
+    """Why a text layer is not good enough, or null where it is; the reasons are tried in this order."""
+    return _fault(quality_parts(text))
+
+
+def with_quality(df: DataFrame, text: str, score: str = "score", fault: str | None = None) -> DataFrame:
+    """Adds the quality score of a text column, and its fault; the measures are worked out once for both."""
+    parts = quality_parts(F.col(text))
+    held = df.withColumn("_quality", F.struct(*(v.alias(k) for k, v in parts.items())))
+    p = {k: F.col(f"_quality.{k}") for k in parts}
+    added = {score: _score(p)} | ({fault: _fault(p)} if fault else {})
+    return held.withColumns(added).drop("_quality")
+
+
 def page_type(text: Column, confidence: Column) -> Column:
     """The kind of page by its words, marks and layout, tried from invoice to text."""
     body = F.coalesce(text, F.lit(""))

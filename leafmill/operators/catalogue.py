@@ -51,8 +51,9 @@ def type_hint(parsed: Column, family: Column, media: Column) -> Column:
 def proper_nouns(text: Column, most: int = NOUNS) -> Column:
     """The first capitalised names of up to three words, each once whatever its case, without generic words."""
     found = F.filter(F.regexp_extract_all(text, F.lit(NOUN), F.lit(0)), lambda x: ~x.isin(*GENERIC))
-    once = F.filter(found, lambda x, i: ~F.exists(F.slice(found, 1, i), lambda y: F.lower(y) == F.lower(x)))
-    return F.slice(once, 1, most)
+    none = F.array().cast("array<string>")
+    known = lambda kept, x: (F.size(kept) >= most) | F.exists(kept, lambda y: F.lower(y) == F.lower(x))
+    return F.aggregate(found, none, lambda kept, x: F.when(known(kept, x), kept).otherwise(F.array_append(kept, x)))
 
 
 def signals(documents: DataFrame) -> DataFrame:
@@ -87,8 +88,8 @@ def groups(labelled: DataFrame) -> DataFrame:
 
 def subgroups(labelled: DataFrame) -> DataFrame:
     """(label, subgroup, document_count) by the first proper noun, of two documents or more."""
-    noun = F.get("proper_nouns", F.lit(0))
-    rows = labelled.filter(noun.isNotNull()).groupBy("label", noun.alias("subgroup")).agg(F.countDistinct("document_id").alias("document_count"))
+    first = labelled.select("label", "document_id", F.explode(F.slice("proper_nouns", 1, 1)).alias("subgroup"))
+    rows = first.groupBy("label", "subgroup").agg(F.countDistinct("document_id").alias("document_count"))
     return rows.filter("document_count >= 2")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.functions.text import page_type, quality_score, text_layer_fault
+from leafmill.functions.text import page_type, with_quality
 
 #: Confidence from which a page needs no further tier.
 ENOUGH = 0.5
@@ -30,9 +30,10 @@ def new_documents(files: DataFrame, catalogue: DataFrame | None = None) -> DataF
 def best_candidates(candidates: DataFrame) -> DataFrame:
     """(document_id, page_number, backend, candidate, score): of a page's candidate texts the best by quality, the first of
     equals by rank; a text that scores nothing never wins.  Columns: document_id, page_number, rank, backend, candidate."""
-    scored = candidates.withColumn("score", quality_score(F.col("candidate"))).filter("score > 0")
+    scored = with_quality(candidates, "candidate")
     w = Window.partitionBy("document_id", "page_number").orderBy(F.col("score").desc(), "rank")
-    return scored.withColumn("_first", F.row_number().over(w)).filter("_first = 1").drop("_first", "rank")
+    # the score is tested after the window, else it would be worked out twice
+    return scored.withColumn("_first", F.row_number().over(w)).filter("_first = 1 AND score > 0").drop("_first", "rank")
 
 
 def escalated(pages: DataFrame) -> DataFrame:
@@ -41,8 +42,7 @@ def escalated(pages: DataFrame) -> DataFrame:
     Columns: document_id, page_number, text, source_tier, ocr_text, ocr_confidence.  A good text layer stays.  A bad one
     gives way to recognised text of higher quality; without recognised text its confidence is 0.  Where confidence then
     stays low, text clean-up takes the page, except that pages of visual types wait for a vision model (`needs_vision`)."""
-    score = quality_score(F.col("text"))
-    rows = pages.withColumns({"fault": text_layer_fault(F.col("text")), "score": score, "ocr_score": quality_score(F.col("ocr_text"))})
+    rows = with_quality(with_quality(pages, "text", "score", "fault"), "ocr_text", "ocr_score")
     bad, better = F.col("fault").isNotNull(), F.col("ocr_score") > F.col("score")
     takes_ocr = bad & F.col("ocr_text").isNotNull() & better
     rows = rows.withColumns(

@@ -106,8 +106,7 @@ _FOLDED = f"SELECT * EXCLUDE (text), {B.FOLD_SQL} AS text FROM {B.PAGES_SQL}"
 
 @query(_quality_sql(_FOLDED, "page_id"))
 def text_quality(spark: SparkSession, sf: str) -> DataFrame:
-    t = F.col("text")
-    return B.folded_pages(spark, sf).select("page_id", T.quality_score(t).alias("score"), T.text_layer_fault(t).alias("fault"))
+    return T.with_quality(B.folded_pages(spark, sf).select("page_id", "text"), "text", "score", "fault").select("page_id", "score", "fault")
 
 
 def _page_type_sql(source: str, keep: str) -> str:
