@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from leafmill.lineage import cut
 from leafmill.llm import flat
+from leafmill.session import spread
 
 CHUNK_CHARS = 1 << 19
 
@@ -253,7 +254,7 @@ def page_statistics(df: DataFrame, key: str, text: str) -> DataFrame:
                 yield out.assign(**{c: values[c] for c in names})
 
     rows = df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).filter(F.col("_text").rlike(r"(?U)\S"))
-    return rows.mapInPandas(measure, f"_key {kind}, language string, {OUT}").withColumnRenamed("_key", key)
+    return spread(rows).mapInPandas(measure, f"_key {kind}, language string, {OUT}").withColumnRenamed("_key", key)
 
 
 def sketches(stats: DataFrame, columns: tuple[str, ...] = STATISTICS) -> DataFrame:

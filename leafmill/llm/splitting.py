@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.session import spread
+
 LIMIT_CHARS, OVERLAP_CHARS = 2_000, 200
 LIMIT_PAGES, OVERLAP_PAGES = 20, 1
 #: Words on either side of a boundary that are compared; pages on either side, and sizes of their word sketches.
@@ -115,7 +117,7 @@ def page_pieces(pages: DataFrame, limit: int = LIMIT_CHARS, overlap: int = OVERL
             yield pd.DataFrame(rows, columns=["item_id", "item_kind", "piece", "start", "end", "boundary", "text"])
 
     schema = "item_id string, item_kind string, piece int, start int, end int, boundary string, text string"
-    return oversized_pages(pages, limit).mapInPandas(work, schema)
+    return spread(oversized_pages(pages, limit)).mapInPandas(work, schema)
 
 
 def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

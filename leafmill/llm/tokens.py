@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.session import spread
+
 #: Where the vocabulary files lie; a parameter of every operator here, never copied into the repository.
 TOKENIZER_DIR = os.environ.get("LEAFMILL_TOKENIZERS", "/opt/tokenizers")
 VOCABULARY = "byte_bpe_50k.json"
@@ -225,7 +227,7 @@ def token_ids(
     rows give repeated rows, a null key stays null, extra columns are not read."""
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    done = rows.mapInArrow(lambda it: _encoded(it, directory, name, True), f"_key {kind}, _value array<int>")
+    done = spread(rows).mapInArrow(lambda it: _encoded(it, directory, name, True), f"_key {kind}, _value array<int>")
     return done.select(F.col("_key").alias(key), F.col("_value").alias("ids"))
 
 
@@ -235,7 +237,7 @@ def token_counts(
     """(key, tokens): the number of ids of each row's text, 0 for null and empty texts."""
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    done = rows.mapInArrow(lambda it: _encoded(it, directory, name, False), f"_key {kind}, _value bigint")
+    done = spread(rows).mapInArrow(lambda it: _encoded(it, directory, name, False), f"_key {kind}, _value bigint")
     return done.select(F.col("_key").alias(key), F.col("_value").alias("tokens"))
 
 
