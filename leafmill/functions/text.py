@@ -166,7 +166,8 @@ def excerpt(text: Column, start: Column, end: Column, margin: int = 60) -> Colum
 
 def safe_confidence(value: Column) -> Column:
     """Clamped to 0..1, a half where it is no number."""
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), value.try_cast("double"))), F.lit(0.5))
+    number = value.try_cast("double")  # greatest and least skip nulls
+    return F.when(number.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), number))).otherwise(0.5)
 
 
 def percentage(part: Column, whole: Column) -> Column:

@@ -55,7 +55,7 @@ def raw_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def plain_text_pages(files: DataFrame) -> DataFrame:
     """One page per text file: bytes that are no utf-8 are left out, confidence .99, 0 where nothing remains."""
-    text = stripped(F.regexp_replace(F.decode("content", "utf-8"), "�", ""))
+    text = stripped(F.regexp_replace(F.make_valid_utf8(F.col("content").cast("string")), "\ufffd", ""))
     return files.filter(F.col("doc_family") == "text").select(
         "document_id", F.lit(1).alias("page_number"), F.lit("tier0_plain_text").alias("source_tier"), text.alias("text"),
         F.when(text != "", 0.99).otherwise(0.0).alias("confidence"),
