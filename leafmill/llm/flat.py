@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pandas as pd
 
 
 def code_points(text: str) -> np.ndarray:
@@ -40,3 +43,12 @@ def gram_hash(codes: np.ndarray, n: int, bits: int) -> np.ndarray:
         h ^= h >> np.uint32(13)
     h *= np.uint32(0x9E3779B1)
     return h >> np.uint32(32 - bits)
+
+
+def filled(work: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A mapInPandas function without the frames of no rows, whose columns have no types to convert by."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return (frame for frame in work(batches) if len(frame))
+
+    return run

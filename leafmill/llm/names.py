@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.llm import flat
+
 from leafmill.session import spread
 
 #: Forms of the registry in one block; the blocks are joined one after another, so a registry of any size works.
@@ -394,7 +396,7 @@ def _link(cards: DataFrame, block: Block, number: int) -> DataFrame:
             yield pd.DataFrame(rows, columns=["card_id", "entity_id", "linkage"])
 
     chosen = cards.select("card_id", "canonical_name", "aliases")
-    return spread(chosen).mapInPandas(work, "card_id long, entity_id string, linkage double")
+    return spread(chosen).mapInPandas(flat.filled(work), "card_id long, entity_id string, linkage double")
 
 
 def linked_cards(cards: DataFrame, registry: DataFrame) -> DataFrame:

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.llm import flat
+
 from leafmill.llm.boosting import BoostedTrees
 from leafmill.session import spread
 
@@ -424,7 +426,7 @@ def _scan(df: DataFrame, key: str, text: str, items: bool) -> DataFrame:
 
     schema = "pii_type string, start_char long" if items else "redacted string, items long"
     rows = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    return spread(rows).mapInPandas(work, f"_key {kind}, {schema}").withColumnRenamed("_key", key)
+    return spread(rows).mapInPandas(flat.filled(work), f"_key {kind}, {schema}").withColumnRenamed("_key", key)
 
 
 def personal_items(df: DataFrame, key: str = "edge_id", text: str = "evidence_excerpt") -> DataFrame:

@@ -254,7 +254,7 @@ def page_statistics(df: DataFrame, key: str, text: str) -> DataFrame:
                 yield out.assign(**{c: values[c] for c in names})
 
     rows = df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).filter(F.col("_text").rlike(r"(?U)\S"))
-    return spread(rows).mapInPandas(measure, f"_key {kind}, language string, {OUT}").withColumnRenamed("_key", key)
+    return spread(rows).mapInPandas(flat.filled(measure), f"_key {kind}, language string, {OUT}").withColumnRenamed("_key", key)
 
 
 def sketches(stats: DataFrame, columns: tuple[str, ...] = STATISTICS) -> DataFrame:
@@ -297,7 +297,7 @@ def classified(df: DataFrame, key: str = "page_id", text: str = "text") -> DataF
     Null, empty and blank texts give no row; of repeated keys every row is measured.  Extra columns are not read.
     The statistics are cut from the text by a checkpoint, as both the sketches and the scores read them."""
     scored = standardised(cut(page_statistics(df, key, text)))
-    unreadable = (F.col("z_common") < -TAIL / 2) & (F.col("common") < 0.06) & (F.col("bare") < 0.3) & (
+    unreadable = (F.col("z_common") < -TAIL / 2) & (F.col("common") < 0.15) & (F.col("bare") < 0.3) & (
         (F.col("z_vowels") < -TAIL) | (F.col("letters") < 0.5) | (F.col("z_word_length") > 2 * TAIL) | (F.col("word_length") < 2)
     )
     tails = F.array_compact(F.array(*(F.when(F.abs(F.col(f"z_{c}")) > TAIL, F.lit(c)) for c in STATISTICS)))

@@ -205,7 +205,7 @@ def _corpus_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def corpus_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """(gram, n): hashed n-gram counts over all texts; at most 2**BITS rows, whatever the corpus."""
     rows = df.select(F.col(text).alias("text")).filter(F.col("text").isNotNull())
-    return spread(rows).mapInPandas(_corpus_grams, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return spread(rows).mapInPandas(flat.filled(_corpus_grams), "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def ratio_table(natural: np.ndarray) -> np.ndarray:
@@ -299,7 +299,7 @@ def residue(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
             yield batch[batch["residue"].map(bool)]
 
     rows = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    scored = spread(rows).mapInPandas(score, f"_key {kind}, residue array<string>")
+    scored = spread(rows).mapInPandas(flat.filled(score), f"_key {kind}, residue array<string>")
     return scored.select(F.col("_key").alias(key), F.explode("residue").alias("residue"))
 
 

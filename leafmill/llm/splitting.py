@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.llm import flat
+
 from leafmill.session import spread
 
 LIMIT_CHARS, OVERLAP_CHARS = 2_000, 200
@@ -117,7 +119,7 @@ def page_pieces(pages: DataFrame, limit: int = LIMIT_CHARS, overlap: int = OVERL
             yield pd.DataFrame(rows, columns=["item_id", "item_kind", "piece", "start", "end", "boundary", "text"])
 
     schema = "item_id string, item_kind string, piece int, start int, end int, boundary string, text string"
-    return spread(oversized_pages(pages, limit)).mapInPandas(work, schema)
+    return spread(oversized_pages(pages, limit)).mapInPandas(flat.filled(work), schema)
 
 
 def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -153,7 +155,7 @@ def document_pieces(pages: DataFrame, limit: int = LIMIT_PAGES, overlap: int = O
     if len(some) <= BROADCAST_DOCUMENTS:
         large = F.broadcast(pages.sparkSession.createDataFrame([(x,) for x in some], "_large string"))
     rows = rows.join(large, F.col("document_id") == F.col("_large"), "left_semi")
-    sketches = rows.mapInPandas(_sketch, "document_id string, page_number int, sketch array<int>")
+    sketches = rows.mapInPandas(flat.filled(_sketch), "document_id string, page_number int, sketch array<int>")
     sketches = sketches.groupBy("document_id", "page_number").agg(F.first("sketch").alias("sketch"))
     # the rank of a page in its document, by buckets of page numbers, so that no task orders a whole document
     bucket = F.floor(F.col("page_number") / BUCKET)

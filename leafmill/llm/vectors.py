@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.llm import flat
+
 from leafmill.lineage import cut
 
 DIMENSIONS = 64
@@ -86,7 +88,7 @@ def live_vectors(index: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
             x /= np.linalg.norm(x, axis=1, keepdims=True)
             yield pd.DataFrame({"chunk_id": batch["chunk_id"], "unit": [r.tobytes() for r in x.astype(np.float32)]})
 
-    return newest.select("chunk_id", "embedding").mapInPandas(unit, "chunk_id string, unit binary")
+    return newest.select("chunk_id", "embedding").mapInPandas(flat.filled(unit), "chunk_id string, unit binary")
 
 
 def points(live: DataFrame, k: int) -> DataFrame:
@@ -133,7 +135,7 @@ def _windows(spread: DataFrame, keep: int, least: float, dimensions: int) -> Dat
             top = rank < keep
             yield pd.DataFrame({"a": ids[a[top]], "b": ids[b[top]], "cosine": cosine[top].astype(float)})
 
-    return spread.select("point", "unit").mapInPandas(slide, "a long, b long, cosine double")
+    return spread.select("point", "unit").mapInPandas(flat.filled(slide), "a long, b long, cosine double")
 
 
 def _best(pairs: DataFrame, keep: int) -> DataFrame:
@@ -164,7 +166,7 @@ def near_points(
             yield pd.DataFrame(out)
 
     names = [f"k{c}" for c in range(curves)]
-    keyed = cut(found.select("point", "unit").mapInPandas(keys, "point long, unit binary, " + ", ".join(f"{x} long" for x in names)))
+    keyed = cut(found.select("point", "unit").mapInPandas(flat.filled(keys), "point long, unit binary, " + ", ".join(f"{x} long" for x in names)))
     seen = None
     for name in names:
         ordered = keyed.select("point", "unit", name).repartitionByRange(name, "point").sortWithinPartitions(name, "point")
@@ -187,7 +189,7 @@ def near_points(
                 c = np.einsum("ij,ij->i", u, v).astype(float)
                 yield batch[["a", "b"]].assign(cosine=c)[c >= least]
 
-        more = held.select("a", "b", "u", "v").mapInPandas(cosine, "a long, b long, cosine double")
+        more = held.select("a", "b", "u", "v").mapInPandas(flat.filled(cosine), "a long, b long, cosine double")
         best = _best(best.unionByName(more), k + SPARE)
     return best
 
