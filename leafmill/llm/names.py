@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm import flat
-
 from leafmill.session import spread
 
 #: Forms of the registry in one block; the blocks are joined one after another, so a registry of any size works.

@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm import flat
-
 from leafmill.llm.boosting import BoostedTrees
 from leafmill.session import spread
 

@@ -313,5 +313,13 @@ def p10_found(spark, sf_dir: str) -> DataFrame:
     return residue(spark.read.parquet(f"{sf_dir}/documents.parquet")).distinct()
 
 
-QUERIES = {"p10_found": p10_found}
+def p10_split(spark, sf_dir: str) -> DataFrame:
+    """Every document with whether it is excluded, and why."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = residue(docs).groupBy("doc_id").agg(F.array_sort(F.collect_set("residue")).alias("residue"))
+    rows = docs.select("doc_id").join(found, "doc_id", "left")
+    return rows.select("doc_id", F.col("residue").isNotNull().alias("excluded"), "residue")
+
+
+QUERIES = {"p10_found": p10_found, "p10_split": p10_split}
 SQL: dict[str, str] = {}

@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.llm import flat
-
 from leafmill.session import spread
 
 LIMIT_CHARS, OVERLAP_CHARS = 2_000, 200

@@ -66,3 +66,19 @@ def test_hilbert_keys_walk_through_every_cell_by_single_steps(axes, bits):
     assert sorted(keys.tolist()) == list(range(side**axes))
     path = cells[np.argsort(keys)]
     assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_recall_against_brute_force(spark):
+    x = clusters(120, 8, 5)
+    ids = [f"c{i:05d}" for i in range(len(x))]
+    frame = spark.createDataFrame([(i, [float(v) for v in row], "v3", T, "u") for i, row in zip(ids, x)], KIND)
+    got = V.recall(frame).first()
+    assert got.queries > 5 and got.true_neighbours >= got.queries and got.recall >= 0.9
+    live = V.live_vectors(frame)
+    exact = {(r.chunk_id, r.other) for r in V.exact_neighbours(live, live, 5).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = u @ u.T
+    np.fill_diagonal(s, -2)
+    want = {(ids[i], ids[j]) for i in range(len(x)) for j in np.argsort(-s[i])[:5]}
+    assert len(exact & want) / len(want) > 0.999
+    assert V.recall(frame.limit(0)).first().recall == 1.0
