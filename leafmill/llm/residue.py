@@ -2,7 +2,8 @@
 
 Character n-gram models are fitted for filler, error messages, script notices and the furniture of
 web pages, on phrase patterns written out below, and for natural text, on the n-gram counts of the
-whole corpus.  A window whose mean log-likelihood ratio against natural text is high belongs to its
+corpus: each text once however often it is repeated, and without texts that are mostly the classes'
+own n-grams, so that no group of residue is its own background.  A window whose mean log-likelihood ratio against natural text is high belongs to its
 best class; the share of a text that a class covers decides.  Placeholders stand amid real content:
 they are matched by their delimiters in texts that hold such characters.
 """
@@ -26,6 +27,8 @@ N, BITS, WINDOW = 4, 16, 24
 LEVEL = 0.3
 #: Shares of a text: of filler; of errors; of all residue beside which a notice or an error counts.
 FILLER_SHARE, ERROR_SHARE, SCRIPT_SHARE, RESIDUE_SHARE = 0.3, 0.1, 0.03, 0.35
+#: Share of a text's characters that begin n-grams of one class, from which it is no natural text to count.
+STRONG_SHARE = 0.5
 CHUNK_CHARS = 1 << 19
 CLASSES = ("filler", "error_page", "script_notice", "furniture")
 
@@ -166,6 +169,8 @@ ERROR_CUE = re.compile(
     r"(?i)\b[45]\d\d\b|error|denied|expired|removed|failed|went wrong|too many|not (?:available|found|allowed)|maintenance|could not"
     r"|does not exist|traceback|exception|password|fehler|nicht (?:gefunden|mehr)|refus|introuvable|erreur|denegad|encontrad"
 )
+#: What a script notice must name.
+SCRIPT_CUE = re.compile(r"(?i)script|skript|\bjs\b|active content|スクリプト|скрипт")
 DELIMITERS = re.compile(r"[{}\[\]<>«%@#$~|_]|XX|TT\.")
 
 
@@ -192,19 +197,34 @@ def class_counts() -> np.ndarray:
     return table
 
 
+def strong(grams: np.ndarray, solid: np.ndarray, starts: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each text is mostly n-grams of one class (`known`: class, n-gram), which no corpus can change."""
+    own = np.stack([np.add.reduceat((row[grams] & solid).astype(np.int64), starts) for row in known])
+    return own.max(axis=0) >= STRONG_SHARE * np.maximum(1, np.add.reduceat(solid.astype(np.int64), starts))
+
+
 def _corpus_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts = np.zeros(1 << BITS, np.int64)
+    known = class_counts()[: CLASSES.index("furniture")] > 0
     for batch in batches:
-        texts = [t for t in batch["text"] if t]
+        texts = [t.lower() for t in batch["text"] if t]
         for a, b in flat.chunks(texts, len, CHUNK_CHARS):
-            counts += np.bincount(flat.gram_hash(_folded("\n".join(texts[a:b])), N, BITS), minlength=1 << BITS)
+            codes, starts, lengths = flat.join(texts[a:b], "\n")
+            codes = np.where((codes >= 48) & (codes <= 57), np.uint32(48), codes)
+            grams = flat.gram_hash(np.append(codes, np.full(N - 1, 10, np.uint32)), N, BITS)
+            natural = np.repeat(~strong(grams, codes > 32, starts, known), lengths + 1)
+            counts += np.bincount(grams[natural], minlength=1 << BITS)
     seen = np.flatnonzero(counts)
     yield pd.DataFrame({"gram": seen.astype(np.int32), "n": counts[seen]})
 
 
 def corpus_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """(gram, n): hashed n-gram counts over all texts; at most 2**BITS rows, whatever the corpus."""
+    """(gram, n): hashed n-gram counts over the distinct natural texts; at most 2**BITS rows, whatever the corpus.
+
+    Texts that differ in case and digits only are one text."""
     rows = df.select(F.col(text).alias("text")).filter(F.col("text").isNotNull())
+    one = F.xxhash64(F.translate(F.lower("text"), "123456789", "000000000"))
+    rows = rows.groupBy(one.alias("one")).agg(F.first("text").alias("text")).select("text")
     return spread(rows).mapInPandas(flat.filled(_corpus_grams), "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
@@ -271,7 +291,7 @@ def kinds(texts: list[str], table: np.ndarray) -> list[list[str]]:
             found.append("filler")
         if error >= ERROR_SHARE and residue >= RESIDUE_SHARE and (not script or ERROR_CUE.search(text)):
             found.append("error_page")
-        if script >= SCRIPT_SHARE and residue >= RESIDUE_SHARE:
+        if script >= SCRIPT_SHARE and residue >= RESIDUE_SHARE and SCRIPT_CUE.search(text):
             found.append("script_notice")
         out.append(found)
     return out

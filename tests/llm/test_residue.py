@@ -53,3 +53,16 @@ def test_operator_on_nulls_repeats_and_empty_tables(spark):
     assert sorted(got, key=repr) == [(2, "error_page"), (2, "error_page"), (None, "error_page")]
     assert R.residue(frame.limit(0)).count() == 0
     assert R.without_residue(frame).count() == frame.count() - 3
+
+
+HOT = ["Lorem ipsum dolor sit amet consectetur adipiscing elit.", "Access denied. You do not have permission to open the file."]
+
+
+@pytest.mark.parametrize("text,kind", list(zip(HOT, ["filler", "error_page"])))
+@pytest.mark.parametrize("tail", ["", "\n{0}"])  # copies, and texts that differ a little
+def test_a_hot_group_of_residue_is_not_its_own_background(spark, text, kind, tail):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    data = [(i, text + tail.format(letters[i % 26] + letters[i // 26])) for i in range(300)]
+    data += [(1000 + i, f"{letters[i]}. {PROSE}{PROSE[::-1]}") for i in range(20)]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    assert sorted((r.doc_id, r.residue) for r in R.residue(frame).collect()) == [(i, kind) for i in range(300)]
