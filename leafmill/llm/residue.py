@@ -29,6 +29,8 @@ LEVEL = 0.3
 FILLER_SHARE, ERROR_SHARE, SCRIPT_SHARE, RESIDUE_SHARE = 0.3, 0.1, 0.03, 0.35
 #: Share of a text's characters that begin n-grams of one class, from which it is no natural text to count.
 STRONG_SHARE = 0.5
+#: Words of a window in which a few words over and over are looked for; a shorter text is one window.
+REPEAT_WORDS = 1000
 CHUNK_CHARS = 1 << 19
 CLASSES = ("filler", "error_page", "script_notice", "furniture")
 
@@ -264,9 +266,16 @@ def class_shares(texts: list[str], table: np.ndarray) -> np.ndarray:
 
 
 def repetition(text: str) -> bool:
-    """Whether a text is a few words over and over."""
+    """Whether a text is a few words over and over, by the share of its words in windows that are.
+
+    The windows have one size, since the share of distinct words falls with the length of any text."""
     words = text.split()
-    return len(words) >= 12 and len(set(words)) * 6 <= len(words)
+    if len(words) < 12:
+        return False
+    pieces = max(1, len(words) // REPEAT_WORDS)
+    ends = [i * len(words) // pieces for i in range(pieces + 1)]
+    repeated = sum(j - i for i, j in itertools.pairwise(ends) if len(set(words[i:j])) * 6 <= j - i)
+    return repeated >= FILLER_SHARE * len(words)
 
 
 def has_placeholder(text: str) -> bool:

@@ -66,3 +66,10 @@ def test_a_hot_group_of_residue_is_not_its_own_background(spark, text, kind, tai
     data += [(1000 + i, f"{letters[i]}. {PROSE}{PROSE[::-1]}") for i in range(20)]
     frame = spark.createDataFrame(data, "doc_id long, text string")
     assert sorted((r.doc_id, r.residue) for r in R.residue(frame).collect()) == [(i, kind) for i in range(300)]
+
+
+def test_repetition_does_not_depend_on_length():
+    prose = " ".join(f"word{(i * i + 7 * i) % 1187}" for i in range(20_000))  # many distinct words, each often
+    assert not R.repetition(prose) and not R.repetition(prose[:5_000])
+    assert R.repetition("zob zoba zobf zob zob zoba " * 3) and R.repetition("zob zoba zobf zob zob zoba " * 3_000)
+    assert R.repetition(prose[: len(prose) // 2] + " zob zoba" * 10_000) and not R.repetition(prose + " zob zoba" * 1_000)
