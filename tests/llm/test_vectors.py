@@ -82,3 +82,29 @@ def test_recall_against_brute_force(spark):
     want = {(ids[i], ids[j]) for i in range(len(x)) for j in np.argsort(-s[i])[:5]}
     assert len(exact & want) / len(want) > 0.999
     assert V.recall(frame.limit(0)).first().recall == 1.0
+
+
+def test_windows_run_on_over_the_boundaries_of_ranges(spark, monkeypatch):
+    x = clusters(200, 5, 7)
+    x[400:700] = x[400] + 1e-4 * np.random.default_rng(3).normal(size=(300, 64))  # a third of all in one cell
+    ids = np.array([f"c{i:05d}" for i in range(len(x))])
+    frame = spark.createDataFrame([(i, [float(v) for v in row], "v3", T, "u") for i, row in zip(ids, x)], KIND)
+    live = V.live_vectors(frame)
+    monkeypatch.setattr(V, "WINDOW", 1_000)
+    whole = {(r.a, r.b) for r in V.near_points(V.cut(V.points(live, 3)), 3).collect()}
+    monkeypatch.setattr(V, "RANGE", 128)
+    monkeypatch.setattr(V, "WINDOW", 60)
+    found = V.cut(V.points(live, 3))
+    keyed = V._keyed(found, 2, 64)
+    bounds = V._bounds(keyed, 2, 1_000)
+    assert bounds.shape == (2, 7, 3) and (np.diff(bounds, axis=2) >= 0).all()
+    parts = {(r.a, r.b) for r in V.near_points(found, 3).collect()}
+    assert len(whole & parts) / len(whole) > 0.6 and len({a for a, _ in parts}) == 1_000
+
+
+def test_query_vectors_are_held_against_all(spark):
+    x = clusters(40, 8, 9)
+    frame = spark.createDataFrame([(f"c{i:05d}", [float(v) for v in row], "v3", T, "u") for i, row in enumerate(x)], KIND)
+    some = V.neighbours(frame, 5, asked=V.every_fiftieth())
+    every = V.neighbours(frame, 5).filter(V.every_fiftieth())
+    assert rows(some) == rows(every) and len(rows(some)) > 0
