@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,7 +13,9 @@ SETTING = "spark.checkpoint.dir"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where a local session leaves it unset, a temporary one."""
+    """The folder named by spark.checkpoint.dir; where a local session leaves it unset, a temporary one that goes with the process.
+
+    On a cluster spark.cleaner.referenceTracking.cleanCheckpoints removes what no plan refers to any more."""
     named = spark.sparkContext.getConf().get(SETTING) or spark.conf.get(SETTING, None)
     if named:
         return named
@@ -19,9 +24,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     made = getattr(spark, "_leafmill_checkpoint", None)
     if made is None:
         made = spark._leafmill_checkpoint = tempfile.mkdtemp(prefix="leafmill-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
     return made
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder for tables of this application below the checkpoint folder; it can be removed after the application."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/leafmill-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, read back from a reliable checkpoint: later stages survive a lost executor and
     do not run the work above again."""

@@ -3,7 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from leafmill.operators.incremental import VersionedTarget, pending_work, source_version
+from leafmill.operators import incremental as I
+from leafmill.operators.incremental import StaleTarget, VersionedTarget, pending_work, source_version
 from tests.conftest import rows
 
 DOCS = "document_id string, sha256 string, updated_at timestamp, done string, extra int"
@@ -64,15 +65,43 @@ def test_a_failed_run_leaves_nothing_visible(spark, tmp_path):
     assert target.run(source, lambda df: df) == 1
 
 
-def test_two_writers_cannot_publish_the_same_version(spark, tmp_path):
-    target = VersionedTarget(spark, str(tmp_path / "t"))
-    frame = spark.createDataFrame([("a", "1")], "key string, version string")
-    target.publish(frame)
-    late = VersionedTarget(spark, str(tmp_path / "t"))
-    late._segments = lambda: (0, [])
-    with pytest.raises(RuntimeError):
-        late.publish(frame)
-    assert target.read().count() == 1
+def test_the_second_of_two_interleaved_runs_is_refused(spark, tmp_path):
+    source = spark.createDataFrame([("a", "1"), ("b", "1")], "key string, version string")
+    one, two = (VersionedTarget(spark, str(tmp_path / "t")) for _ in range(2))
+    work = [t.pending(source) for t in (one, two)]  # both read version 0
+    assert one.publish(work[0]) == 1
+    with pytest.raises(StaleTarget):
+        two.publish(work[1])
+    assert two.read().count() == 2 and two.pending(source).count() == 0
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("segment")]) == 1
+    later = spark.createDataFrame([("a", "2")], "key string, version string")
+    assert two.run(later, lambda df: df) == 2
+    with pytest.raises(StaleTarget):
+        one.publish(later)  # still at version 1
+
+
+def test_segments_are_compacted_without_a_change_of_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(I, "COMPACT_AFTER", 3)
+    target = VersionedTarget(spark, str(tmp_path / "t"), ("key", "part"))
+    for i in range(4):
+        source = spark.createDataFrame([("a", i, str(i)), ("b", 0, "x"), (f"c{i}", None, "1"), (f"c{i}", 7, "1")], "key string, part int, version string")
+        target.run(source, lambda df: df.withColumn("out", F.lit(i)))
+    assert target.head() == 5 and len(target._segments(5)) == 1
+    assert rows(target.read().select("key", "part", "version", "out")) == sorted(
+        [("a", i, str(i), i) for i in range(4)] + [("b", 0, "x", 0)] + [(f"c{i}", 7, "1", i) for i in range(4)], key=repr
+    )
+    assert rows(target.read(4).select("key", "part", "version", "out")) == rows(target.read(5).select("key", "part", "version", "out"))
+
+
+def test_pending_work_reads_a_published_target(spark, tmp_path):
+    docs = spark.createDataFrame([("a", "1", T, "x", 1), ("b", "2", T, None, 2)], DOCS)
+    attempts = spark.createDataFrame([("a", "1", 1, "ocr", "done", 0)], ATTEMPTS)
+    runs = spark.createDataFrame([], RUNS)
+    path = str(tmp_path / "t")
+    assert pending_work(docs, attempts, runs, path=path).count() == 5
+    target = VersionedTarget(spark, path, ("document_id", "stage"), "sha256")
+    target.run(I.present_work(docs), lambda df: df.filter("stage = 'embed'"))
+    assert rows(pending_work(docs, attempts, runs, path=path)) == [("a", "entities"), ("b", "entities"), ("b", "ocr")]
 
 
 def test_source_version_tells_null_from_empty(spark):
