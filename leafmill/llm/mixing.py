@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from leafmill.lineage import cut
 from leafmill.llm.tokens import token_counts
 
-#: Most and fewest tokens of a slot, and the slots that a small mix is cut into so that its shares are fine enough.
-SLOT_TOKENS, LEAST_SLOT_TOKENS, SLOTS = 1_024, 16, 4_096
-#: The golden ratio's fraction, the step of the sequence of points; as a whole number over 2**53 it is exact.
-GOLDEN = 0.6180339887498949
+#: Tokens of a slot.
+SLOT_TOKENS = 128
+#: The golden ratio's fraction as an odd whole number of POINTS-ths: the points of POINTS successive slots are all different.
+POINTS = 1 << 31
+GOLDEN = 1_327_217_885
 #: Documents per bucket of a source, about; slots per bucket.
 BUCKET_DOCUMENTS, BUCKET_SLOTS = 50_000, 1 << 16
 SEED = 17
@@ -48,8 +49,8 @@ def supply(documents: DataFrame, targets: DataFrame, **tokenizer) -> DataFrame:
     )
 
 
-def plan(stock: DataFrame, targets: DataFrame, total_tokens: int | None, slot_tokens: int | None = None) -> DataFrame:
-    """One row per source of the targets: its share, capacity, weight in the mix, slots, tokens of a slot and first point.
+def plan(stock: DataFrame, targets: DataFrame, total_tokens: int | None, slot_tokens: int = SLOT_TOKENS) -> DataFrame:
+    """One row per source of the targets: its share, capacity, weight in the mix, blocks, greatest number of slots and first point.
 
     Sources without documents get weight 0 and the others share their part in proportion.  The total is the largest at
     which every source still meets its share within its repeats, or `total_tokens`, if that is less.  The targets are a
@@ -66,6 +67,7 @@ def plan(stock: DataFrame, targets: DataFrame, total_tokens: int | None, slot_to
         F.coalesce("tokens", F.lit(0)).alias("tokens"),
         (F.coalesce("tokens", F.lit(0)) * F.coalesce("repeats", F.lit(0))).alias("capacity"),
     )
+    rows = rows.withColumn("blocks", F.floor(F.col("capacity") / slot_tokens))
     some = F.when((F.col("capacity") > 0) & (F.col("target_share") > 0), F.col("target_share")).otherwise(F.lit(0.0))
     every = Window.partitionBy(F.lit(1))
     rows = rows.withColumn("weight", F.try_divide(some, F.sum(some).over(every)))
@@ -73,46 +75,43 @@ def plan(stock: DataFrame, targets: DataFrame, total_tokens: int | None, slot_to
     if total_tokens is not None:
         limit = F.least(limit, F.lit(float(total_tokens)))
     order = every.orderBy("source").rowsBetween(Window.unboundedPreceding, 0)
-    size = F.lit(slot_tokens).cast("long") if slot_tokens else F.greatest(
-        F.lit(LEAST_SLOT_TOKENS), F.least(F.lit(SLOT_TOKENS), F.floor(limit / SLOTS))
-    )
-    rows = rows.withColumn("slot_tokens", size).withColumn("slots", F.floor(limit / F.col("slot_tokens")))
-    return rows.withColumn("upper", F.sum("weight").over(order)).withColumn(
-        "lower", F.col("upper") - F.col("weight")
-    )
+    rows = rows.withColumn("slots", F.floor(limit / slot_tokens)).withColumn("upper", F.sum("weight").over(order))
+    return rows.withColumn("lower", F.col("upper") - F.col("weight"))
 
 
 def slots(plan_rows: DataFrame) -> DataFrame:
-    """(slot, source, turn): the source of each slot and which of its source's slots it is, from 0."""
-    rows = plan_rows.select("source", "weight", "lower", "upper", "slots").collect()  # a row per source of the targets
+    """(slot, source, turn): the source of each slot and which of its source's slots it is, from 0.
+
+    The schedule ends before the first slot for which its source has no whole block left, so every slot is filled."""
+    rows = plan_rows.select("source", "weight", "lower", "upper", "slots", "blocks").collect()  # a row per source of the targets
     spark = plan_rows.sparkSession
     live = [r for r in rows if r.weight]
     n = int(live[0].slots) if live else 0
-    point = F.pmod(F.col("id") * F.lit(GOLDEN), F.lit(1.0))
+    point = F.pmod(F.pmod(F.col("id"), F.lit(POINTS)) * F.lit(GOLDEN), F.lit(POINTS)) / POINTS
     name = F.lit(None).cast("string")
     for r in sorted(live, key=lambda r: -r.lower):
         name = F.when(point < r.upper, F.lit(r.source)).otherwise(name)
     last = max(live, key=lambda r: r.upper).source if live else None
     each = spark.range(n).select(F.col("id").alias("slot"), F.coalesce(name, F.lit(last)).alias("source"))
-    bucket = F.floor(F.col("slot") / BUCKET_SLOTS)
-    counts = each.groupBy("source", bucket.alias("bucket")).agg(F.count("*").alias("k"))
+    each = each.withColumn("bucket", F.floor(F.col("slot") / BUCKET_SLOTS))
+    counts = each.groupBy("source", "bucket").agg(F.count("*").alias("k"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("source", "bucket", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("offset"))
     within = Window.partitionBy("source", "bucket").orderBy("slot")
-    each = each.withColumn("bucket", bucket).join(F.broadcast(counts), ["source", "bucket"])
-    return each.select("slot", "source", (F.col("offset") + F.row_number().over(within) - 1).alias("turn"))
+    each = each.join(counts, ["source", "bucket"])
+    each = cut(each.select("slot", "source", (F.col("offset") + F.row_number().over(within) - 1).alias("turn")))
+    blocks = F.coalesce(*(F.when(F.col("source") == r.source, F.lit(r.blocks)) for r in live)) if live else F.lit(0)
+    end = each.filter(F.col("turn") >= blocks).agg(F.min("slot")).first()[0]
+    return each if end is None else each.filter(F.col("slot") < end)
 
 
-def laid_out(stock: DataFrame, plan_rows: DataFrame) -> DataFrame:
-    """(source, doc_id, repeat, tokens, begin, slot_tokens): the documents of each source end to end, in shuffled order, every repeat
-    shuffled anew; begin is the number of tokens of the source before."""
-    need = plan_rows.select(
-        "source",
-        "slot_tokens",
-        (F.ceil(F.col("weight") * F.col("slots") + 2) * F.col("slot_tokens")).alias("need"),
-        F.col("tokens").alias("once"),
-        "documents",
-    )
+def laid_out(stock: DataFrame, turns: DataFrame, plan_rows: DataFrame, slot_tokens: int = SLOT_TOKENS) -> DataFrame:
+    """(source, doc_id, repeat, tokens, begin): the documents of each source end to end, in shuffled order, every repeat
+    shuffled anew, as far as its slots need them; begin is the number of tokens of the source before.
+
+    `turns` has the number of slots of each source; like the plan it is a row per source of the targets."""
+    need = plan_rows.select("source", F.col("tokens").alias("once"), "documents").join(turns, "source")
+    need = need.select("source", "once", "documents", (F.col("turns") * slot_tokens).alias("need"))
     rows = stock.join(F.broadcast(need), "source")
     times = F.least(F.col("max_repeats").cast("long"), F.ceil(F.col("need") / F.greatest(F.lit(1), F.col("once"))))
     rows = rows.withColumn("repeat", F.explode(F.sequence(F.lit(1).cast("long"), times)))
@@ -123,24 +122,26 @@ def laid_out(stock: DataFrame, plan_rows: DataFrame) -> DataFrame:
     before = Window.partitionBy("source").orderBy("repeat", "bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("source", "repeat", "bucket", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("offset"))
     within = Window.partitionBy("source", "repeat", "bucket").orderBy("place", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.join(F.broadcast(counts), ["source", "repeat", "bucket"])
-    return rows.select("source", "doc_id", "repeat", "tokens", "slot_tokens", (F.col("offset") + F.coalesce(F.sum("tokens").over(within), F.lit(0))).alias("begin"))
+    rows = rows.join(counts, ["source", "repeat", "bucket"]).filter(F.col("offset") < F.col("need"))
+    begin = F.col("offset") + F.coalesce(F.sum("tokens").over(within), F.lit(0))
+    return rows.withColumn("begin", begin).filter(F.col("begin") < F.col("need")).select("source", "doc_id", "repeat", "tokens", "begin")
 
 
 def mixed(
-    documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, slot_tokens: int | None = None, **tokenizer
+    documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, slot_tokens: int = SLOT_TOKENS, **tokenizer
 ) -> tuple[DataFrame, DataFrame]:
     """(the mix, its report).
 
     The mix: (slot, source, doc_id, repeat, first_token, tokens), one row per piece of a document in a slot, first_token
     counting in the document.  A document that straddles slots has a row in each; one is used at most max_repeats times.
-    The report: a row per source of the targets with the share it was meant to have and the share it has.  Sources are
-    compared in lower case, trimmed, with underscores.  Empty tables give an empty mix; extra columns are not read."""
+    Every slot holds slot_tokens tokens.  The report: a row per source of the targets with the share it was meant to have, the
+    share it has, and its slots, planned and filled.  Sources are compared in lower case, trimmed, with underscores.  Empty
+    tables, and sources too small for one slot, give an empty mix; extra columns are not read."""
     stock = cut(supply(documents, targets, **tokenizer))
     rows = cut(plan(stock, targets, total_tokens, slot_tokens))
     order = slots(rows)
-    laid = laid_out(stock, rows)
-    slot_tokens = F.col("slot_tokens")
+    turns = cut(order.groupBy("source").agg(F.count("*").alias("turns")))
+    laid = laid_out(stock, turns, rows, slot_tokens)
     first, last = F.floor(F.col("begin") / slot_tokens), F.floor((F.col("begin") + F.col("tokens") - 1) / slot_tokens)
     pieces = laid.withColumn("turn", F.explode(F.sequence(first, last)))
     start = F.greatest(F.col("begin"), F.col("turn") * slot_tokens)
@@ -150,12 +151,14 @@ def mixed(
     got = mix.groupBy("source").agg(
         F.sum("tokens").alias("mixed_tokens"), F.countDistinct("slot").alias("mixed_slots"), F.max("repeat").alias("most_repeats")
     )
-    report = rows.join(got, "source", "left").select(
+    report = rows.join(turns, "source", "left").join(got, "source", "left").select(
         "source",
         "target_share",
         F.round("weight", 6).alias("feasible_share"),
         "documents",
         F.col("tokens").alias("source_tokens"),
+        F.coalesce("turns", F.lit(0)).alias("planned_slots"),
+        F.coalesce("mixed_slots", F.lit(0)).alias("mixed_slots"),
         F.coalesce("mixed_tokens", F.lit(0)).alias("mixed_tokens"),
         F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"),
     )
