@@ -1,10 +1,11 @@
 """Problem 6: variant spellings of names typed by people.
 
-Names become vectors of character n-grams weighted by their rarity in the registry.  A sparse top-n
-cosine join, in blocks of the registry that are sent to every task, finds the registry's forms near a
-name.  A comparison of the parts of the two names then refuses what only looks alike: another first
-name, another line of business.  Of the entities that remain the one whose forms are nearest on
-average takes the card (average linkage to the cluster that the entity's known forms make up).
+Names become vectors of hashed character n-grams, weighted by their rarity over all forms of the
+registry.  The different names of the cards and the registry's forms meet in a block-wise sparse cosine
+join; every pair of at least the threshold is kept, however many there are.  A comparison of the parts of
+the two names follows, which refuses what only looks alike: another first name, another line of business.
+The forms of an entity are a cluster; of the clusters that remain a card joins the one of the greatest
+average linkage, that is, the mean cosine to all forms of the entity.
 """
 
 from __future__ import annotations
@@ -17,18 +18,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.lineage import cut
 from leafmill.llm import flat
-from leafmill.session import spread
 
-#: Forms of the registry in one block; the blocks are joined one after another, so a registry of any size works.
-BLOCK_FORMS = 50_000
-#: Nearest forms looked at, and the least cosine.
-TOP, LEAST = 30, 0.25
-#: Names whose result a task keeps.
-CACHE_NAMES = 200_000
+#: Registry entries and different names that meet in one group of the join, about.
+BLOCK_ENTRIES, BLOCK_NAMES = 10_000, 20_000
+#: Least cosine of a name and one of an entity's forms.
+LEAST = 0.25
+#: Bits of the hash of an n-gram of either length.
+BITS = 16
+#: Cosines that one matrix holds.
+CELLS = 1 << 21
+#: Parts into which the cards of one name are dealt.
+SALT = 32
 
 # --- Fixed values: familiar forms of first names, titles, legal forms and their short forms. ------------------------
 
@@ -103,20 +108,25 @@ def distance(a: str, b: str, most: int) -> int:
     """Edits, neighbouring letters swapped counting as one, or most + 1."""
     if a == b:
         return 0
+    if not a or not b:
+        return min(len(a) + len(b), most + 1)
     if abs(len(a) - len(b)) > most or len(set(a) ^ set(b)) > 2 * most:
         return most + 1
-    before, row = None, list(range(len(b) + 1))
-    for i, c in enumerate(a, 1):
-        new = [i]
-        for j, d in enumerate(b, 1):
-            cost = min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d))
-            if before and i > 1 and j > 1 and c == b[j - 2] and a[i - 2] == d:
-                cost = min(cost, before[j - 2] + 1)
-            new.append(cost)
-        if min(new) > most:
-            return most + 1
-        before, row = row, new
-    return row[-1]
+    # bit vectors of the columns of the table of distances, a bit for each letter of `a`
+    where: dict[str, int] = {}
+    for i, c in enumerate(a):
+        where[c] = where.get(c, 0) | 1 << i
+    full, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    up, down, same, before, total = full, 0, 0, 0, len(a)
+    for c in b:
+        at = where.get(c, 0)
+        same = (((at & up) + up) ^ up) | at | down | (((~same & at) << 1) & before)
+        plus, minus = down | (~(same | up) & full), same & up
+        total += ((plus & last) != 0) - ((minus & last) != 0)
+        plus, minus = ((plus << 1) | 1) & full, (minus << 1) & full
+        up, down = minus | (~(same | plus) & full), plus & same
+        before = at
+    return min(total, most + 1)
 
 
 def allowed(length: int) -> int:
@@ -129,10 +139,26 @@ def plain_umlauts(word: str) -> str:
     return word.replace("oe", "o").replace("ue", "u").replace("ae", "a")
 
 
+@functools.lru_cache(1 << 16)
+def pairs_of(word: str) -> frozenset[str]:
+    """The pairs of neighbouring letters of a word; an edit changes three of them at most."""
+    return frozenset(map("".join, itertools.pairwise(word)))
+
+
+def holds(word: str, part: str, edits: int = 2) -> bool:
+    """Whether a word may hold a part but for some edits; False is certain."""
+    return len(pairs_of(word) & pairs_of(part)) >= len(pairs_of(part)) - 3 * edits
+
+
 def alike(a: str, b: str) -> bool:
     """Whether one word may be the other with typing errors."""
+    if a == b:
+        return True
     most = allowed(max(len(a), len(b)))
-    return distance(a, b, most) <= most or distance(plain_umlauts(a), plain_umlauts(b), most) <= most - (most > 1)
+    if not most:
+        return False
+    p, q = plain_umlauts(a), plain_umlauts(b)
+    return (holds(a, b, most) and distance(a, b, most) <= most) or (holds(p, q, most) and distance(p, q, most) <= most - (most > 1))
 
 
 def same_first(token: str, dotted: bool, first: str) -> bool:
@@ -163,11 +189,25 @@ def abbreviates(token: str, word: str) -> bool:
     return len(word) >= 5 and len(token) >= 4 and alike(token, word)
 
 
+class Word:
+    """The word of an entity's name that must stand in any spelling of it, for a cheap look before names are compared."""
+
+    def __init__(self, word: str):
+        self.pairs = [pairs_of(w) for w in {word, plain_umlauts(word)}]
+        edits = max(2, allowed(len(word) + 3))
+        self.least = [len(p) - 3 * edits for p in self.pairs]
+
+    def may_stand_in(self, pairs: frozenset[str]) -> bool:
+        """Whether a name of these pairs of letters may hold the word, typing errors granted; False is certain."""
+        return any(len(pairs & p) >= n for p, n in zip(self.pairs, self.least))
+
+
 class Person:
     def __init__(self, name: str):
         tokens, _, _ = parts(name)
         self.first, self.last = (tokens[0], tokens[-1]) if len(tokens) > 1 else ("", tokens[0] if tokens else "")
         self.middle = tokens[1][0] if len(tokens) > 2 else ""
+        self.word = Word(self.last)
 
     def verdict(self, tokens: list[str], dots: list[bool], comma: bool) -> int:
         """2: the same name; 1: nothing against it; 0: the surname is another; -1: the surname fits, the first name does not."""
@@ -193,9 +233,14 @@ class Person:
             return -1
         return 2
 
+    @functools.cached_property
+    def _names(self) -> list[str]:
+        return sorted({self.first} | {n for n, g in families().items() if g & families().get(self.first, frozenset())})
+
     def _glued(self, word: str) -> bool:
-        names = {self.first} | {n for n, g in families().items() if g & families().get(self.first, frozenset())}
-        for name in names:
+        if not holds(word, self.last):
+            return False
+        for name in self._names:
             for form in (name + self.last, self.last + name):
                 if word == form or (name == self.first or len(name) > 2) and abs(len(word) - len(form)) < 3 and distance(word, form, 2) <= 2:
                     if name != self.first or not any(
@@ -215,6 +260,7 @@ class Firm:
         self.legal = [LEGAL[t] for t in tokens[1:] if LEGAL.get(t)]
         core = [t for i, t in enumerate(tokens) if i == 0 or t not in LEGAL]
         self.name, self.trade = (core[0] if core else ""), core[1:]
+        self.word = Word(self.name)
         words = [self.name, *self.trade, *(t for t in tokens[1:] if t in LEGAL)]
         self.acronyms = {self.name[:3] + "".join(w[0] for w in words[1:]), self.name[:2] + "".join(w[0] for w in words[1:])} if len(words) > 1 else set()
 
@@ -242,6 +288,8 @@ class Firm:
         return 2 if all(any(abbreviates(o, t) for t in self.trade) for o in others) else -1
 
     def _glued(self, word: str) -> bool:
+        if not holds(word, self.name):
+            return False
         tails = ["", *self.legal, "".join(self.legal)]
         for tail in tails:
             form = self.name + "".join(self.trade) + tail
@@ -250,168 +298,168 @@ class Firm:
         return False
 
 
-def grams(name: str) -> list[str]:
-    """Two- and three-character pieces of a name without spaces, marked at its ends."""
-    text = re.sub(r"[^a-z0-9]", "", plain_umlauts(folded(re.sub(r"[(\[].*?[)\]]", " ", name)))) or folded(name).strip()
-    text = f"^{text}$"
-    return [text[i : i + n] for n in (2, 3) for i in range(len(text) - n + 1)]
+def plain(name: str) -> str:
+    """A name as its n-grams read it: folded, without places in brackets, spaces and marks."""
+    return re.sub(r"[^a-z0-9]", "", plain_umlauts(folded(re.sub(r"[(\[].*?[)\]]", " ", name)))) or folded(name).strip()
+
+
+def grams(names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, gram, count): the hashed two- and three-character pieces of each name, marked at its ends."""
+    codes, starts, lengths = flat.join([f"^{plain(n)}$" for n in names], "\n")
+    row = np.repeat(np.arange(len(names)), lengths + 1)
+    found = []
+    for k, n in enumerate((2, 3)):
+        h = flat.gram_hash(codes, n, BITS).astype(np.int64) + (k << BITS)
+        inside = row[: len(h)] == row[n - 1 :]
+        inside &= codes[n - 1 :] != 10
+        found.append((row[: len(h)][inside] << (BITS + 1)) | h[inside])
+    key, count = np.unique(np.concatenate(found), return_counts=True)
+    return key >> (BITS + 1), key & ((1 << (BITS + 1)) - 1), count
+
+
+def weighted(names: list[str], rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, gram, weight): the unit vectors of names."""
+    row, gram, count = grams(names)
+    weight = (1 + np.log(count)) * rarity[gram]
+    norm = np.sqrt(np.bincount(row, weight**2, minlength=len(names)))
+    return row, gram, weight / np.maximum(norm[row], 1e-9)
+
+
+def model(kind: str, name: str) -> Person | Firm:
+    return Firm(name) if kind == "organization" else Person(name)
+
+
+def forms(kind: str, name: str, aliases: list[str]) -> list[str]:
+    """The spellings of an entry that are known: its name, its aliases and, of a firm, its acronyms."""
+    return list(dict.fromkeys([name, *aliases, *sorted(getattr(model(kind, name), "acronyms", ()))]))
 
 
 class Block:
     """The forms of some registry entries as sparse n-gram vectors, with their postings by n-gram."""
 
-    def __init__(self, entries: list[tuple[str, str, str, list[str]]]):
-        self.ids = [e[0] for e in entries]
-        self.model = [Firm(e[1]) if e[2] == "organization" else Person(e[1]) for e in entries]
-        forms, owner = [], []
-        for k, (_, name, kind, aliases) in enumerate(entries):
-            own = [name, *aliases] + [a for a in getattr(self.model[k], "acronyms", ())]
-            for form in dict.fromkeys(own):
-                forms.append(grams(form))
-                owner.append(k)
-        self.owner = np.array(owner, np.int64)
-        self.forms_of = np.searchsorted(self.owner, np.arange(len(self.ids) + 1))
-        seen: dict[str, int] = {}
-        for g in forms:
-            for x in set(g):
-                seen[x] = seen.get(x, 0) + 1
-        self.gram = {g: i for i, g in enumerate(seen)}
-        self.rare = np.log(1 + len(forms) / np.array([*seen.values(), 1], float))
-        flat = [(self.gram[x], f) for f, g in enumerate(forms) for x in g]
-        g, f = (np.array(x, np.int64) for x in zip(*flat)) if flat else (np.empty(0, np.int64),) * 2
-        key, count = np.unique(g * len(forms) + f, return_counts=True) if flat else (g, g)
-        g, f = key // max(1, len(forms)), key % max(1, len(forms))
-        w = (1 + np.log(count)) * self.rare[g] if flat else np.empty(0)
-        norm = np.sqrt(np.bincount(f, w**2, minlength=len(forms)))
-        self.form, self.weight = f, w / np.maximum(norm[f], 1e-9)
-        self.start = np.searchsorted(g, np.arange(len(seen) + 1))
-        self.n = len(forms)
-
-    def near(self, names: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each name the entries of its nearest forms and the mean cosine of each entry's forms to it."""
-        out = []
-        for a in range(0, len(names), 256):
-            rows, ids, weights = [], [], []
-            for r, name in enumerate(names[a : a + 256]):
-                counts: dict[str, int] = {}
-                for x in grams(name):
-                    counts[x] = counts.get(x, 0) + 1
-                known = [(self.gram.get(x, -1), c) for x, c in counts.items()]
-                g = np.array([k for k, _ in known], np.int64)
-                w = (1 + np.log(np.array([c for _, c in known], float))) * self.rare[g]
-                w /= max(1e-9, float(np.sqrt((w**2).sum())))
-                keep = g >= 0
-                rows.append(np.full(keep.sum(), r))
-                ids.append(g[keep])
-                weights.append(w[keep])
-            row, g, w = np.concatenate(rows), np.concatenate(ids), np.concatenate(weights)
-            length = self.start[g + 1] - self.start[g]
-            at = np.repeat(self.start[g] - np.cumsum(length) + length, length) + np.arange(length.sum())
-            many = len(names[a : a + 256])
+    def __init__(self, ids: list[str], names: list[str], kinds: list[str], aliases: list[list[str]], rarity: np.ndarray):
+        self.ids, self.rarity = ids, rarity
+        self.model = [model(k, n) for k, n in zip(kinds, names)]
+        own = [forms(k, n, a) for k, n, a in zip(kinds, names, aliases)]
+        self.spread = np.array([len(x) for x in own], np.int64)
+        self.first = np.cumsum(self.spread) - self.spread
+        form, gram, weight = weighted([x for f in own for x in f], rarity)
+        order = np.argsort(gram, kind="stable")
+        self.form, self.weight = form[order], weight[order].astype(np.float32)
+        self.start = np.searchsorted(gram[order], np.arange(len(rarity) + 1))
+        self.n = int(self.spread.sum())
+
+    def near(self, names: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(name, entries, linkage): for each name the entries with a form of at least LEAST, and the mean cosine of all of
+        an entry's forms to it."""
+        step = max(1, CELLS // max(1, self.n))
+        for a in range(0, len(names), step):
+            part = names[a : a + step]
+            row, gram, weight = weighted(part, self.rarity)
+            length = self.start[gram + 1] - self.start[gram]
+            at = np.repeat(self.start[gram] - np.cumsum(length) + length, length) + np.arange(length.sum())
             cosine = np.bincount(
-                np.repeat(row, length) * self.n + self.form[at], np.repeat(w, length) * self.weight[at], minlength=many * self.n
-            ).reshape(many, self.n)
-            top = min(TOP, self.n)
-            best = np.argpartition(-cosine, top - 1, axis=1)[:, :top]
-            value = np.take_along_axis(cosine, best, axis=1)
-            r, k = np.nonzero(value >= LEAST)
-            pair, inverse = np.unique(r * len(self.ids) + self.owner[best[r, k]], return_inverse=True)
-            # average linkage: the mean over all forms of the entry, those below the top among them
-            row, entry = pair // len(self.ids), pair % len(self.ids)
-            spread = self.forms_of[entry + 1] - self.forms_of[entry]
-            form = np.repeat(self.forms_of[entry] - np.cumsum(spread) + spread, spread) + np.arange(spread.sum())
-            total = np.bincount(np.repeat(np.arange(len(pair)), spread), cosine[np.repeat(row, spread), form], minlength=len(pair))
-            mean = total / np.maximum(1, spread)
-            ends = np.searchsorted(row, np.arange(many + 1))
-            out += [(entry[i:j], mean[i:j]) for i, j in itertools.pairwise(ends)]
-        return out
-
-    def verdicts(self, names: list[str]) -> list[dict[int, tuple[int, float]]]:
-        """For each name, by entry: the verdict and the linkage."""
-        result = []
-        for name, (entries, linkage) in zip(names, self.near(names)):
-            tokens, dots, comma = parts(name)
-            result.append({int(e): (self.model[e].verdict(tokens, dots, comma), float(s)) for e, s in zip(entries, linkage)})
-        return result
-
-
-def decide(canonical: dict[int, tuple[int, float]], aliases: list[dict[int, tuple[int, float]]]) -> int | None:
-    """The entry that a card means, if any.
-
-    An entry qualifies by the card's name, or by an alias where the name leaves it open; an alias or a name that fits an
-    entry but for its first name or trade speaks against it.  Of several the best verdict, then the best linkage wins."""
-    scores: dict[int, list[float]] = {}
-    for weight, verdicts in ((1.0, canonical), *((0.5, a) for a in aliases)):
-        for entry, (verdict, linkage) in verdicts.items():
-            scores.setdefault(entry, [0, 0, 0.0])
-            if verdict == 2:
-                scores[entry][0] = max(scores[entry][0], 2 * weight)
-                scores[entry][2] = max(scores[entry][2], linkage * weight)
-            elif verdict == -1:
-                scores[entry][1] += 1
-    good = [(s[0], s[2], -e) for e, s in scores.items() if s[0] and not s[1]]
-    return -max(good)[2] if good else None
-
-
-def registry_blocks(registry: DataFrame) -> Iterator[Block]:
-    """The registry in blocks of bounded size, without loading it whole."""
+                np.repeat(row, length) * self.n + self.form[at], np.repeat(weight, length) * self.weight[at], minlength=len(part) * self.n
+            ).reshape(len(part), self.n)
+            best = np.maximum.reduceat(cosine, self.first, axis=1)
+            mean = np.add.reduceat(cosine, self.first, axis=1) / self.spread
+            r, k = np.nonzero(best >= LEAST)
+            ends = np.searchsorted(r, np.arange(len(part) + 1))
+            for i, (x, y) in enumerate(itertools.pairwise(ends)):
+                yield a + i, k[x:y], mean[i, k[x:y]]
+
+    def verdicts(self, names: list[str]) -> Iterator[tuple[str, str, int, float]]:
+        """(name, entity_id, verdict, linkage) where a verdict speaks for or against an entry."""
+        for i, entries, linkage in self.near(names):
+            told = parts(names[i])
+            joined = "".join(told[0])
+            pairs = pairs_of(joined) | pairs_of(plain_umlauts(joined))
+            for e, s in zip(entries.tolist(), linkage.tolist()):
+                # short words may be acronyms
+                if len(joined) > 7 and not self.model[e].word.may_stand_in(pairs):
+                    continue
+                verdict = self.model[e].verdict(*told)
+                if verdict in (2, -1):
+                    yield names[i], self.ids[e], verdict, s
+
+
+def entries(registry: DataFrame) -> DataFrame:
+    """(entity_id, canonical_name, kind, aliases) of the entries that have an id and a name, each id once."""
     rows = registry.select("entity_id", "canonical_name", "kind", "aliases").filter(
-        F.col("entity_id").isNotNull() & F.col("canonical_name").isNotNull()
+        F.col("entity_id").isNotNull() & (F.trim("canonical_name") != "")
     )
-    entries: list[tuple[str, str, str, list[str]]] = []
-    size = 0
-    for r in rows.orderBy("entity_id").toLocalIterator():
-        aliases = [a for a in r.aliases or [] if a]
-        entries.append((r.entity_id, r.canonical_name, r.kind or "", aliases))
-        size += 3 + len(aliases)
-        if size >= BLOCK_FORMS:
-            yield Block(entries)
-            entries, size = [], 0
-    if entries:
-        yield Block(entries)
-
-
-def _link(cards: DataFrame, block: Block, number: int) -> DataFrame:
-    known = cards.sparkSession.sparkContext.broadcast(block)
-
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = known.value
-        cache: dict[str, dict] = {}
+    first = F.min(F.struct("canonical_name", F.coalesce("kind", F.lit("")).alias("kind"), F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases")))
+    return rows.groupBy("entity_id").agg(first.alias("e")).select("entity_id", "e.canonical_name", "e.kind", F.filter("e.aliases", lambda x: F.trim(x) != "").alias("aliases"))
+
+
+def rarity(listed: DataFrame) -> np.ndarray:
+    """The weight of each hashed n-gram over all forms of the registry: at most 2 * 2**BITS numbers, whatever its size."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen, n = np.zeros(2 << BITS, np.int64), 0
         for batch in batches:
-            names = [n if isinstance(n, str) else "" for n in batch["canonical_name"]]
-            others = [[a for a in (x if x is not None else []) if a] for x in batch["aliases"]]
-            new = list({n for n in itertools.chain(names, *others) if n.strip()}.difference(cache))
-            if len(cache) + len(new) > CACHE_NAMES:
-                cache.clear()
-                new = list({n for n in itertools.chain(names, *others) if n.strip()})
-            cache.update(zip(new, own.verdicts(new)))
-            rows = []
-            for card, name, more in zip(batch["card_id"], names, others):
-                seen = [cache[a] for a in more if a.strip()]
-                entry = decide(cache.get(name, {}), seen)
-                if entry is not None:
-                    best = max(v[entry][1] for v in (cache.get(name, {}), *seen) if entry in v)
-                    rows.append((card, own.ids[entry], best))
-            yield pd.DataFrame(rows, columns=["card_id", "entity_id", "linkage"])
-
-    chosen = cards.select("card_id", "canonical_name", "aliases")
-    return spread(chosen).mapInPandas(flat.filled(work), "card_id long, entity_id string, linkage double")
+            own = [f for k, name, a in zip(batch["kind"], batch["canonical_name"], batch["aliases"]) for f in forms(k, name, list(a))]
+            seen += np.bincount(grams(own)[1], minlength=2 << BITS)
+            n += len(own)
+        held = np.flatnonzero(seen)
+        yield pd.DataFrame({"gram": np.append(held, -1), "n": np.append(seen[held], n)})
+
+    counts = np.zeros((2 << BITS) + 1)
+    for row in listed.mapInPandas(flat.filled(count), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
+        counts[row.gram] = row.n
+    # never near zero: an n-gram that all entries of a registry hold still makes names alike
+    return (1 + np.log(1 + counts[-1] / np.maximum(1.0, counts[:-1])) / 2).astype(np.float32)
+
+
+def _compared(names: DataFrame, listed: DataFrame) -> DataFrame:
+    """(name, entity_id, verdict, linkage): the sparse cosine join of names and registry entries and the comparison of its pairs.
+
+    Both sides are dealt into blocks of bounded size, and each block of names meets each block of entries in one task.  Weights
+    are those of the whole registry and no list is cut, so the result is the same for any number of blocks."""
+    blocks, parts = max(1, -(-listed.count() // BLOCK_ENTRIES)), max(1, -(-names.count() // BLOCK_NAMES))
+    weights = listed.sparkSession.sparkContext.broadcast(rarity(listed))
+
+    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame(columns=["name", "entity_id", "verdict", "linkage"])
+        right = right.sort_values("entity_id")
+        block = Block(right["entity_id"].tolist(), right["canonical_name"].tolist(), right["kind"].tolist(), [list(a) for a in right["aliases"]], weights.value)
+        return pd.DataFrame(block.verdicts(left["name"].tolist()), columns=["name", "entity_id", "verdict", "linkage"])
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = names.select("name", F.pmod(F.xxhash64("name"), F.lit(parts)).cast("int").alias("part"), every(blocks).alias("block"))
+    right = listed.select("*", F.pmod(F.xxhash64("entity_id"), F.lit(blocks)).cast("int").alias("block"), every(parts).alias("part"))
+    both = left.groupBy("part", "block").cogroup(right.groupBy("part", "block"))
+    return both.applyInPandas(meet, "name string, entity_id string, verdict int, linkage double")
 
 
 def linked_cards(cards: DataFrame, registry: DataFrame) -> DataFrame:
     """(card_id, entity_id): each card with the registry entry that it means; cards without one give no row.
 
-    The kind of a card is often wrong or missing and is not read.  Null and blank names match by their aliases only.
-    Repeated cards give one row.  With more than one block, the entry of the best linkage over all blocks holds, ties going
-    to the lesser id.  An empty registry gives no rows; extra columns are not read."""
-    found = [_link(cards, block, i) for i, block in enumerate(registry_blocks(registry))]
-    if not found:
-        return cards.select(F.col("card_id").cast("long").alias("card_id"), F.lit(None).cast("string").alias("entity_id")).limit(0)
-    if len(found) == 1:
-        return found[0].select("card_id", "entity_id").distinct()
-    rows = functools.reduce(DataFrame.unionByName, found)
-    best = F.min(F.struct((-F.col("linkage")).alias("far"), "entity_id"))
-    return rows.groupBy("card_id").agg(best["entity_id"].alias("entity_id"))
+    An entry qualifies by the card's name, or by an alias where the name leaves it open; an alias or a name that fits an entry
+    but for its first name or trade speaks against it.  Of several the one found by the name, then the best linkage wins, ties
+    going to the lesser id.  The kind of a card is often wrong or missing and is not read.  Null and blank names match by their
+    aliases only.  Repeated cards give one row.  An empty registry gives no rows; extra columns are not read.
+
+    Each different name is compared once.  A name that very many cards bear is dealt into SALT parts where cards and verdicts meet."""
+    typed = F.array_compact(F.concat(F.array(F.struct(F.lit(1.0).alias("weight"), F.col("canonical_name").alias("name"))), F.transform(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: F.struct(F.lit(0.5).alias("weight"), a.alias("name")))))
+    salt = F.pmod(F.xxhash64("card_id"), F.lit(SALT)).cast("int")
+    spelled = cards.select(F.col("card_id").cast("long").alias("card_id"), F.explode(typed).alias("t")).select("card_id", "t.weight", "t.name", salt.alias("salt"))
+    spelled = spelled.filter(F.trim("name") != "")
+    names = cut(spelled.groupBy("name").agg(F.collect_set("salt").alias("salts")))
+    told = _compared(names, cut(entries(registry)))
+    said = told.groupBy("name").agg(F.collect_list(F.struct("entity_id", "verdict", "linkage")).alias("said"))
+    said = said.join(names, "name").select("name", F.explode("salts").alias("salt"), "said")
+    met = spelled.join(said, ["name", "salt"]).select("card_id", "weight", F.explode("said").alias("s")).select("card_id", "weight", "s.*")
+    pro = F.col("verdict") == 2
+    scored = met.groupBy("card_id", "entity_id").agg(
+        F.max(F.when(pro, F.col("weight"))).alias("by"), F.max(F.when(pro, F.col("weight") * F.col("linkage"))).alias("linkage"), F.count_if(~pro).alias("against")
+    )
+    good = scored.filter(F.col("by").isNotNull() & (F.col("against") == 0))
+    best = F.min(F.struct((-F.col("by")).alias("by"), (-F.col("linkage")).alias("linkage"), "entity_id"))
+    return good.groupBy("card_id").agg(best["entity_id"].alias("entity_id"))
 
 
 def p6_found(spark, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 
 from leafmill.llm import names as N
@@ -36,7 +37,8 @@ def test_cards_find_their_entity(spark, registry):
 def test_blocks_of_the_registry_give_the_same(spark, registry, monkeypatch):
     cards = spark.createDataFrame([(i, name, aliases) for i, (name, aliases, _) in enumerate(CASES)], "card_id long, canonical_name string, aliases array<string>")
     whole = rows(N.linked_cards(cards, registry))
-    monkeypatch.setattr(N, "BLOCK_FORMS", 6)
+    monkeypatch.setattr(N, "BLOCK_ENTRIES", 2)
+    monkeypatch.setattr(N, "BLOCK_NAMES", 5)
     assert rows(N.linked_cards(cards, registry)) == whole
 
 
@@ -54,7 +56,64 @@ def test_distance(a, b, d):
 
 
 def test_cosines_equal_brute_force():
-    block = N.Block(REGISTRY)
-    name = "Judith Halvorsen"
-    entries, linkage = block.near([name])[0]
-    assert linkage[list(entries).index(0)] == pytest.approx(1.0)
+    weights = np.random.default_rng(1).uniform(0.5, 3, 2 << N.BITS).astype(np.float32)
+    ids, names, kinds, aliases = zip(*REGISTRY)
+    block = N.Block(ids, names, kinds, aliases, weights)
+    typed = [name for name, _, _ in CASES if name and name.strip()]
+
+    def vector(name):
+        _, gram, weight = N.weighted([name], weights)
+        return dict(zip(gram.tolist(), weight.tolist()))
+
+    found = {(i, int(e)): s for i, entries, linkage in block.near(typed) for e, s in zip(entries, linkage)}
+    for i, name in enumerate(typed):
+        v = vector(name)
+        for e, (n, k, a) in enumerate(zip(names, kinds, aliases)):
+            cosines = [sum(x * vector(f).get(g, 0) for g, x in v.items()) for f in N.forms(k, n, a)]
+            assert (max(cosines) >= N.LEAST) == ((i, e) in found)
+            if (i, e) in found:
+                assert found[i, e] == pytest.approx(np.mean(cosines), abs=1e-5)
+
+
+def test_no_list_of_candidates_is_cut(spark):
+    """Forty entries of one surname: the one that a nickname means is found, however many look nearer."""
+    first = [g.split()[0] for g in N.FAMILIAR.replace("\n", " ").split("|")]
+    entries = [(f"e{i:02d}", f"{f} Bobberstromsen", "person", []) for i, f in enumerate(f for f in first if f not in ("robert", "hubert"))]
+    entries += [("robert", "Robert Bobberstromsen", "person", [])]
+    registry = spark.createDataFrame(entries, "entity_id string, canonical_name string, kind string, aliases array<string>")
+    cards = spark.createDataFrame([(1, "Bobby Bobberstromsen", [])], "card_id long, canonical_name string, aliases array<string>")
+    assert len(entries) > 60 and rows(N.linked_cards(cards, registry)) == [(1, "robert")]
+
+
+def test_alike_by_pairs_of_letters_is_no_narrower_than_by_distance():
+    r = np.random.default_rng(5)
+    for _ in range(3_000):
+        word = "".join(r.choice(list("abcdeghilmnorstu"), r.integers(4, 16)))
+        other = list(word)
+        for _ in range(r.integers(0, 4)):
+            i = int(r.integers(0, len(other)))
+            other[i : i + r.integers(0, 2)] = list(r.choice(list("abcdet"), r.integers(0, 2)))
+            if len(other) < 3:
+                break
+            if r.random() < 0.5:
+                j = int(r.integers(0, len(other) - 1))
+                other[j], other[j + 1] = other[j + 1], other[j]
+        other = "".join(other)
+        most = N.allowed(max(len(word), len(other)))
+        p, q = N.plain_umlauts(word), N.plain_umlauts(other)
+        assert N.alike(word, other) == (N.distance(word, other, most) <= most or N.distance(p, q, most) <= most - (most > 1))
+
+
+def test_distance_equals_the_table_of_distances():
+    r = np.random.default_rng(6)
+    for _ in range(2_000):
+        a, b = ("".join(r.choice(list("abc"), r.integers(0, 9))) for _ in range(2))
+        table = np.zeros((len(a) + 1, len(b) + 1), int)
+        table[:, 0], table[0, :] = np.arange(len(a) + 1), np.arange(len(b) + 1)
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                table[i, j] = min(table[i - 1, j] + 1, table[i, j - 1] + 1, table[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+                if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                    table[i, j] = min(table[i, j], table[i - 2, j - 2] + 1)
+        for most in (1, 2, 9):
+            assert N.distance(a, b, most) == min(table[-1, -1], most + 1)
