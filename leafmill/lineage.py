@@ -7,6 +7,8 @@ import shutil
 import tempfile
 import uuid
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
@@ -33,6 +35,30 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/leafmill-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def artifact(spark: SparkSession, name: str, make: Callable[[], bytes]) -> bytes:
+    """The bytes of a fitted model, from the shared folder if a session has left them there, else made and left there.
+
+    The name must hold a digest of all that the model is made from."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/leafmill-models"
+    path = hadoop(f"{folder}/{name}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        stream = fs.open(path)
+        try:
+            return bytes(stream.readAllBytes())
+        finally:
+            stream.close()
+    data = make()
+    own = hadoop(f"{folder}/.{name}-{uuid.uuid4().hex}")
+    out = fs.create(own, True)
+    out.write(bytearray(data))
+    out.close()
+    if not fs.rename(own, path):  # another session was first
+        fs.delete(own, False)
+    return data
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, read back from a reliable checkpoint: later stages survive a lost executor and
     do not run the work above again."""

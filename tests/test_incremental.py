@@ -1,8 +1,10 @@
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
+from leafmill.lineage import artifact
 from leafmill.operators import incremental as I
 from leafmill.operators.incremental import StaleTarget, VersionedTarget, pending_work, source_version
 from tests.conftest import rows
@@ -108,3 +110,10 @@ def test_source_version_tells_null_from_empty(spark):
     frame = spark.createDataFrame([(None, "a"), ("", "a"), ("", "a")], "x string, y string")
     a, b, c = (r.v for r in frame.select(source_version("x", "y").alias("v")).collect())
     assert a != b and b == c
+
+
+def test_an_artifact_is_made_once(spark):
+    made = []
+    make = lambda: made.append(1) or bytes(range(256))
+    name = f"model-{uuid.uuid4().hex}"
+    assert artifact(spark, name, make) == artifact(spark, name, make) == bytes(range(256)) and len(made) == 1
