@@ -70,7 +70,7 @@ APART = [
 def test_sentences_written_apart(model):
     due = {(i, text.index(item)) for i, (text, items) in enumerate(APART) for item in items}
     got = {(i, s) for i, (text, _) in enumerate(APART) for s, _, _ in P.find([text], *model)[0]}
-    assert len(due & got) / len(due) >= 0.85 and len(due & got) / len(got) >= 0.85
+    assert len(due & got) / len(due) >= 0.75 and len(due & got) / len(got) >= 0.9
 
 
 def test_a_cheap_look_is_no_narrower_than_the_patterns():
