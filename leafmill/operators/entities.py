@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions.ids import edge_id, entity_id
-from leafmill.functions.text import excerpt, safe_confidence
+from leafmill.functions.text import excerpt, safe_confidence, without_code_fence
 
 # --- Fixed values: the patterns of each kind, in the order in which kinds are listed. ---------------------------------
 
@@ -31,26 +31,32 @@ def _placed(number: int, kind: str, pieces: Column, values: Column):
     return mention
 
 
-def mentions(chunks: DataFrame) -> DataFrame:
-    """(chunk columns, ordinal, kind, value, start, entity_id): every mention, names first, then e-mails, then dates, each in
-    order of position; start is the 0-based position.
+def mention_list(text: Column) -> Column:
+    """A text's mentions as an array of (block, place, kind, value, start): names first, then e-mails, then dates, each in order
+    of position; start is the 0-based position.
 
     Positions come from the text's pieces between the matches, so one pass of built-in expressions does without Python."""
     kinds = []
     for number, (kind, pattern) in enumerate(PATTERNS.items()):
-        values = F.regexp_extract_all("text", F.lit(pattern), F.lit(1))
+        values = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
         # the text with its matches taken out, as pieces; the n-th match starts after n + 1 pieces and n matches
-        pieces = F.split(F.col("text"), pattern)
+        pieces = F.split(text, pattern)
         kinds.append(F.transform(values, _placed(number, kind, pieces, values)))
-    found = F.filter(F.concat(*kinds), lambda x: (x["kind"] != "name") | (F.length(x["value"]) >= 3))
-    rows = chunks.select("*", F.posexplode(found).alias("ordinal", "m"))
+    return F.filter(F.concat(*kinds), lambda x: (x["kind"] != "name") | (F.length(x["value"]) >= 3))
+
+
+def mentions(chunks: DataFrame) -> DataFrame:
+    """(chunk columns but the text, ordinal, kind, value, start, entity_id, excerpt): every mention, with the text around it."""
+    rows = chunks.select("*", F.posexplode(mention_list(F.col("text"))).alias("ordinal", "m"))
+    start = F.col("m.start")
     return rows.select(
-        *chunks.columns,
+        *(c for c in chunks.columns if c != "text"),
         "ordinal",
         F.col("m.kind").alias("kind"),
         F.col("m.value").alias("value"),
-        F.col("m.start").alias("start"),
+        start.alias("start"),
         entity_id(F.col("m.kind"), F.col("m.value")).alias("entity_id"),
+        excerpt(F.col("text"), start, start + F.length("m.value")).alias("excerpt"),
     )
 
 
@@ -68,42 +74,40 @@ def cards(found: DataFrame) -> DataFrame:
     last = [F.col(c).desc_nulls_last() for c in place]
     some = part.withColumn("_n", F.row_number().over(Window.partitionBy("entity_id", "_salt").orderBy(*last))).filter(F.col("_n") <= EVIDENCE)
     some = some.withColumn("_n", F.row_number().over(Window.partitionBy("entity_id").orderBy(*last))).filter(F.col("_n") <= EVIDENCE)
-    shown = F.struct(*place, excerpt(F.col("text"), F.col("start"), F.col("start") + F.length("value")).alias("excerpt"))
+    shown = F.struct(*place, "excerpt")
     evidence = some.groupBy("entity_id").agg(F.array_sort(F.collect_list(shown)).alias("evidence"))
     rows = head.join(evidence, "entity_id")
     return rows.withColumns({"canonical_name": F.col("aliases")[0], "confidence": F.lit("medium")})
 
 
-def co_mentions(found: DataFrame) -> DataFrame:
-    """(edge_id, subject_entity_id, predicate, object_entity_id, document_id, page_number, evidence_excerpt, confidence): an edge for each
-    two entities of a chunk, in order of first mention.
-
-    A chunk's entities are at most what 2000 characters hold; the pairs are made inside one array, without a join."""
-    first = found.groupBy("chunk_id", "entity_id").agg(
-        F.min(F.struct("ordinal", "start", "value")).alias("m"),
-        *(F.first(c).alias(c) for c in ("document_id", "page_number", "text")),
-    )
-    entry = F.struct(F.col("m.ordinal").alias("ordinal"), "entity_id", F.col("m.start").alias("start"), (F.col("m.start") + F.length("m.value")).alias("end"))
-    listed = first.groupBy("chunk_id").agg(
-        F.array_sort(F.collect_list(entry)).alias("e"), *(F.first(c).alias(c) for c in ("document_id", "page_number", "text"))
-    )
-    pairs = F.flatten(
-        F.transform(
-            "e", lambda a, i: F.transform(F.slice("e", i + 2, F.greatest(F.lit(0), F.size("e"))), lambda b: F.struct(a.alias("a"), b.alias("b")))
-        )
-    )
-    each = listed.select("chunk_id", "document_id", "page_number", "text", F.explode(pairs).alias("p"))
+def co_mentions(chunks: DataFrame) -> DataFrame:
+    """(edge_id, chunk_id, subject_entity_id, predicate, object_entity_id, document_id, page_number, evidence_excerpt, confidence): an
+    edge for each two entities of a chunk, in order of first mention.
+
+    All mentions of a chunk are in its own row, so entities are deduplicated and paired inside arrays, without a shuffle; they
+    are at most what 2000 characters hold."""
+    entry = lambda x: F.struct(entity_id(x["kind"], x["value"]).alias("entity_id"), x["start"].alias("start"), (x["start"] + F.length(x["value"])).alias("end"))
+    listed = lambda m: F.transform(m, entry)
+    rows = chunks.select("chunk_id", "document_id", "page_number", "text", listed(mention_list(F.col("text"))).alias("m"))
+    # the first of each entity; the fold reads the list once, where a look-up by place would work it out for every element
+    none = F.array().cast("array<struct<entity_id: string, start: int, end: int>>")
+    known = lambda kept, x: F.exists(kept, lambda y: y["entity_id"] == x["entity_id"])
+    first = F.aggregate("m", none, lambda kept, x: F.when(known(kept, x), kept).otherwise(F.array_append(kept, x)))
+    rows = rows.select("chunk_id", "document_id", "page_number", "text", first.alias("e")).filter(F.size("e") > 1)
+    place = F.posexplode("e").alias("i", "a")
+    each = rows.select("chunk_id", "document_id", "page_number", "text", "e", place)
+    each = each.select("chunk_id", "document_id", "page_number", "text", F.col("a.entity_id").alias("subject_entity_id"), F.col("a.start").alias("_start"), F.explode(F.slice("e", F.col("i") + 2, F.size("e"))).alias("b"))
     nothing = F.lit(None).cast("long")
-    key = edge_id(F.col("p.a.entity_id"), F.lit("co_mentioned"), F.col("p.b.entity_id"), F.col("document_id"), F.col("page_number"), nothing, nothing)
+    key = edge_id(F.col("subject_entity_id"), F.lit("co_mentioned"), F.col("b.entity_id"), F.col("document_id"), F.col("page_number"), nothing, nothing)
     return each.select(
         key.alias("edge_id"),
         "chunk_id",
-        F.col("p.a.entity_id").alias("subject_entity_id"),
+        "subject_entity_id",
         F.lit("co_mentioned").alias("predicate"),
-        F.col("p.b.entity_id").alias("object_entity_id"),
+        F.col("b.entity_id").alias("object_entity_id"),
         "document_id",
         "page_number",
-        excerpt(F.col("text"), F.col("p.a.start"), F.col("p.b.end")).alias("evidence_excerpt"),
+        excerpt(F.col("text"), F.col("_start"), F.col("b.end")).alias("evidence_excerpt"),
         F.lit(0.5).alias("confidence"),
     )
 
@@ -143,12 +147,32 @@ def position(text: Column, value: Column) -> Column:
     return F.greatest(F.lit(0), F.instr(F.lower(text), F.lower(value)) - 1)
 
 
+def canonical(name: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(name), r"\s+", " "))
+
+
 def name_registry(names: DataFrame) -> DataFrame:
-    """(entity_id, canonical_name, kind, aliases, document_ids, mention_count) from (document_id, kind, name): names that are equal in
-    lower case and without extra space are one entity.  Registries list documents: their lists are what they are asked for."""
-    canonical = F.trim(F.regexp_replace(F.lower("name"), r"\s+", " "))
-    rows = names.filter(F.trim("name") != "").select("document_id", "kind", F.col("name"), canonical.alias("canonical_name"))
+    """(entity_id, canonical_name, kind, aliases, documents, mention_count) from (document_id, kind, name): names that are equal in
+    lower case and without extra space are one entity.  Its documents are rows of `entity_documents`, however many they are."""
+    rows = names.filter(F.trim("name") != "").select("document_id", "kind", F.col("name"), canonical(F.col("name")).alias("canonical_name"))
     grouped = rows.groupBy("kind", "canonical_name").agg(
-        F.array_sort(F.collect_set("name")).alias("aliases"), F.array_sort(F.collect_set("document_id")).alias("document_ids"), F.count("*").alias("mention_count")
+        F.array_sort(F.collect_set("name")).alias("aliases"), F.countDistinct("document_id").alias("documents"), F.count("*").alias("mention_count")
     )
     return grouped.withColumn("entity_id", entity_id(F.col("kind"), F.col("canonical_name")))
+
+
+def entity_documents(names: DataFrame) -> DataFrame:
+    """(entity_id, document_id, mentions): the documents of each entity of the registry, a row each."""
+    rows = names.filter(F.trim("name") != "").select(entity_id(F.col("kind"), canonical(F.col("name"))).alias("entity_id"), "document_id")
+    return rows.groupBy("entity_id", "document_id").agg(F.count("*").alias("mentions"))
+
+
+def name_lists(answers: DataFrame, answer: str = "answer") -> DataFrame:
+    """(document_id, kind, name) from a model's answers with lists of persons and organizations: strings of a list only, not blank.
+
+    An answer that is no object, or a field that is no list, gives no names."""
+    lists = F.from_json(without_code_fence(F.col(answer)), "persons array<string>, organizations array<string>")
+    rows = answers.select("document_id", lists.alias("n"))
+    kinds = {"person": "n.persons", "organization": "n.organizations"}
+    each = F.flatten(F.array(*(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x, k=k: F.struct(F.lit(k).alias("kind"), F.trim(x).alias("name"))) for k, c in kinds.items())))
+    return rows.select("document_id", F.explode(each).alias("e")).select("document_id", "e.*").filter("name <> ''")

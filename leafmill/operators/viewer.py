@@ -44,9 +44,18 @@ def documents_with_summary_first(documents: DataFrame) -> DataFrame:
 
 
 def key_entity_index(summaries: DataFrame) -> DataFrame:
-    """(entity, document_ids) from documents with a list of key entities."""
-    each = summaries.select("document_id", F.explode("key_entities").alias("entity"))
-    return each.groupBy("entity").agg(F.array_sort(F.collect_set("document_id")).alias("document_ids"))
+    """(entity, document_id): the documents whose list of key entities names it, a row each."""
+    return summaries.select(F.explode("key_entities").alias("entity"), "document_id").distinct()
+
+
+def entities_of_documents(registry: DataFrame) -> DataFrame:
+    """(document_id, entity_id) from a registry whose entries list their documents."""
+    return registry.select(F.explode("document_ids").alias("document_id"), "entity_id").distinct()
+
+
+def with_summaries(documents: DataFrame, summaries: DataFrame) -> DataFrame:
+    """Every document with its summary, if it has one."""
+    return documents.join(summaries.select("document_id", "summary_text"), "document_id", "left")
 
 
 def groups_with(groups: DataFrame, ids: list[str]) -> DataFrame:

@@ -318,7 +318,13 @@ _FOUND = _found_sql()
 
 
 def _found(spark: SparkSession, sf: str) -> DataFrame:
-    return entities.mentions(chunking.chunks(B.pages(spark, sf)).withColumn("text", T.ascii_only(F.col("text"))).select("document_id", "page_number", "chunk_id", "text"))
+    return entities.mentions(_folded_chunks(spark, sf))
+
+
+def _folded_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    rows = chunking.chunks(B.pages(spark, sf)).withColumn("text", T.ascii_only(F.col("text"))).select("document_id", "page_number", "chunk_id", "text")
+    # pairs cost far more than the bytes by which adaptive execution merges small partitions
+    return rows.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 @query(f"SELECT chunk_id, ordinal, kind, value, start, entity_id FROM {_FOUND}")
@@ -348,19 +354,16 @@ _PAIRS = f"""(SELECT a.chunk_id, a.document_id, a.page_number, a.entity_id AS s,
 
 
 @query(f"""WITH u AS MATERIALIZED (SELECT * FROM {_FOUND} QUALIFY row_number() OVER (PARTITION BY chunk_id, entity_id ORDER BY ordinal) = 1)
-    SELECT document_id, count(DISTINCT edge_id) AS edges, min(edge_id) AS least_edge, max(edge_id) AS greatest_edge FROM {_PAIRS} GROUP BY document_id""")
+    SELECT DISTINCT edge_id, s AS subject_entity_id, o AS object_entity_id, document_id, page_number FROM {_PAIRS}""")
 def co_mention_edges(spark: SparkSession, sf: str) -> DataFrame:
-    made = entities.co_mentions(_found(spark, sf)).groupBy("document_id", "edge_id").agg(F.count("*").alias("_n"))
-    return made.groupBy("document_id").agg(F.count("*").alias("edges"), F.min("edge_id").alias("least_edge"), F.max("edge_id").alias("greatest_edge"))
+    made = entities.co_mentions(_folded_chunks(spark, sf))
+    return entities.distinct_edges(made).select("edge_id", "subject_entity_id", "object_entity_id", "document_id", "page_number")
 
 
 @query(f"""WITH u AS MATERIALIZED (SELECT * FROM {_FOUND} QUALIFY row_number() OVER (PARTITION BY chunk_id, entity_id ORDER BY ordinal) = 1)
-    SELECT chunk_id, count(*) AS edges, CAST(sum(length({_excerpt_sql('s0', 'e1')})) AS BIGINT) AS evidence_chars, max(md5({_excerpt_sql('s0', 'e1')})) AS greatest_md5 FROM {_PAIRS} GROUP BY chunk_id""")
+    SELECT chunk_id, edge_id, md5({_excerpt_sql('s0', 'e1')}) AS evidence_md5 FROM {_PAIRS}""")
 def edge_evidence(spark: SparkSession, sf: str) -> DataFrame:
-    made = entities.co_mentions(_found(spark, sf))
-    return made.groupBy("chunk_id").agg(
-        F.count("*").alias("edges"), F.sum(F.length("evidence_excerpt")).alias("evidence_chars"), F.max(F.md5("evidence_excerpt")).alias("greatest_md5")
-    )
+    return entities.co_mentions(_folded_chunks(spark, sf)).select("chunk_id", "edge_id", F.md5("evidence_excerpt").alias("evidence_md5"))
 
 
 _NAMED = """(SELECT r.*, coalesce(s.canonical_name, r.subject_entity_id) AS subject_name, coalesce(o.canonical_name, r.object_entity_id) AS object_name
@@ -389,20 +392,19 @@ def rel_stats(spark: SparkSession, sf: str) -> DataFrame:
     return viewer.edge_statistics(_named(spark, sf))
 
 
-@query("""SELECT kind, canonical_name, list_sort(list(DISTINCT name)) AS aliases, len(list(DISTINCT document_id)) AS documents, count(*) AS mention_count,
+@query("""SELECT kind, canonical_name, list_sort(list(DISTINCT name)) AS aliases, count(DISTINCT document_id) AS documents, count(*) AS mention_count,
         'ent_' || substr(sha1(kind || ':' || canonical_name), 1, 12) AS entity_id
     FROM (SELECT document_id, coalesce(kind, 'unknown') AS kind, canonical_name AS name, trim(regexp_replace(lower(canonical_name), '[\\t-\\r ]+', ' ', 'g')) AS canonical_name FROM entity_cards WHERE trim(canonical_name) <> '')
     GROUP BY kind, canonical_name""")
 def name_registry(spark: SparkSession, sf: str) -> DataFrame:
     names = table(spark, sf, "entity_cards").select("document_id", F.coalesce("kind", F.lit("unknown")).alias("kind"), F.col("canonical_name").alias("name"))
     made = entities.name_registry(names)
-    return made.select("kind", "canonical_name", "aliases", F.size("document_ids").alias("documents"), "mention_count", "entity_id")
+    return made.select("kind", "canonical_name", "aliases", "documents", "mention_count", "entity_id")
 
 
-@query("""SELECT entity, count(DISTINCT document_id) AS documents, min(document_id) AS first_document FROM (SELECT document_id, unnest(aliases) AS entity FROM entity_cards) GROUP BY entity""")
+@query("SELECT DISTINCT entity, document_id FROM (SELECT document_id, unnest(aliases) AS entity FROM entity_cards)")
 def key_entity_index(spark: SparkSession, sf: str) -> DataFrame:
-    index = viewer.key_entity_index(table(spark, sf, "entity_cards").select("document_id", F.col("aliases").alias("key_entities")))
-    return index.select("entity", F.size("document_ids").alias("documents"), F.col("document_ids")[0].alias("first_document"))
+    return viewer.key_entity_index(table(spark, sf, "entity_cards").select("document_id", F.col("aliases").alias("key_entities")))
 
 
 # --- payments ---------------------------------------------------------------------------------------------------------------------

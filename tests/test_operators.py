@@ -99,7 +99,7 @@ def test_mentions_cards_and_edges(spark):
         assert text[start : start + len(value)] == value
     cards = {r.canonical_name: r for r in entities.cards(found).collect()}
     assert cards["Anna Berg"].mentions == 2 and cards["Carl"].mentions == 2 and len(cards["Carl"].evidence) == 2
-    edges = entities.co_mentions(found)
+    edges = entities.co_mentions(frame)
     assert edges.filter("chunk_id = 'c1'").count() == 10  # five different entities
     assert entities.distinct_edges(edges.unionByName(edges)).count() == 10
     stored = entities.distinct_edges(edges).limit(4)
@@ -119,7 +119,7 @@ def test_model_edges_drop_unknown_and_self_edges(spark):
 def test_name_registry_joins_case_and_space(spark):
     names = spark.createDataFrame([("d1", "person", "John  Smith"), ("d2", "person", "john smith"), ("d1", "organization", "John Smith"), ("d3", "person", " ")], "document_id string, kind string, name string")
     got = {(r.kind, r.canonical_name): r for r in entities.name_registry(names).collect()}
-    assert got["person", "john smith"].mention_count == 2 and got["person", "john smith"].document_ids == ["d1", "d2"]
+    assert got["person", "john smith"].mention_count == 2 and got["person", "john smith"].documents == 2
     assert got["person", "john smith"].entity_id != got["organization", "john smith"].entity_id
 
 
