@@ -108,7 +108,7 @@ def assigned(documents: DataFrame, answers: DataFrame) -> DataFrame:
     w = Window.partitionBy("document_id").orderBy("group_index", "member_index")
     valid = answers.join(documents.select("document_id", "batch"), ["document_id", "batch"], "left_semi")
     first = valid.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select("document_id", label(F.col("label")).alias("label"), F.lit("model").alias("source"))
-    rest = documents.select("document_id").join(first, "document_id", "left_anti")
+    rest = documents.select("document_id").distinct().join(first, "document_id", "left_anti")
     return first.unionByName(rest.select("document_id", F.lit(FALLBACK).alias("label"), F.lit("fallback").alias("source")))
 
 
@@ -127,3 +127,26 @@ def merge_is_whole(merged: DataFrame, source_groups: DataFrame) -> bool:
     held = merged.select(F.explode("source_group_ids").alias("source_group_id")).distinct()
     expected = source_groups.select("source_group_id").distinct()
     return held.join(expected, "source_group_id", "left_anti").isEmpty() and expected.join(held, "source_group_id", "left_anti").isEmpty()
+
+
+def source_groups(assignments: DataFrame) -> DataFrame:
+    """(source_group_id, batch, label) of the groups that batches of documents were put in: `assigned` with its batch."""
+    return assignments.groupBy("batch", "label").agg(F.count("*").alias("members")).withColumn("source_group_id", F.concat_ws("_", "batch", F.sha1("label")))
+
+
+def merged_members(merged: DataFrame, members: DataFrame) -> DataFrame:
+    """(label, document_id): the documents of merged groups by way of their source groups; the first group by label that names a
+    document keeps it.  `merged`: label, source_group_ids; `members`: source_group_id, document_id."""
+    each = merged.select("label", F.explode("source_group_ids").alias("source_group_id")).join(members.select("source_group_id", "document_id"), "source_group_id")
+    return each.groupBy("document_id").agg(F.min("label").alias("label")).select("label", "document_id")
+
+
+def built(labelled: DataFrame, assignments: DataFrame | None = None) -> DataFrame:
+    """(label, document_id, method): the catalogue's groups: by a model's assignments, merged by label, where it made any, else by the
+    documents' own labels.  The method is llm_map_reduce or heuristic; no documents give no rows."""
+    own = labelled.select("label", "document_id", F.lit("heuristic").alias("method")).distinct()
+    if assignments is None or assignments.filter("source = 'model'").isEmpty():
+        return own
+    groups = source_groups(assignments)
+    members = assignments.join(groups.select("batch", "label", "source_group_id"), ["batch", "label"]).select("source_group_id", "document_id")
+    return merged_members(default_merge(groups), members).withColumn("method", F.lit("llm_map_reduce"))

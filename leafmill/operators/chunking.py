@@ -54,3 +54,10 @@ def embedded_offline(current: DataFrame, dimensions: int, version: str) -> DataF
         F.lit(version).alias("embedding_version"),
         hash_embedding(F.col("text"), dimensions).cast("array<float>").alias("embedding"),
     )
+
+
+def scan(current: DataFrame, documents: DataFrame, pages: DataFrame) -> DataFrame:
+    """Chunks of embedded documents with the family of the document and the type of the page, if the page is known."""
+    ready = documents.filter(F.col("status_embed") == "done").select("document_id", "doc_family").distinct()
+    kinds = pages.select("page_id", "page_type")
+    return current.join(ready, "document_id").join(kinds, "page_id", "left")

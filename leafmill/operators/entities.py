@@ -173,6 +173,9 @@ def name_lists(answers: DataFrame, answer: str = "answer") -> DataFrame:
     An answer that is no object, or a field that is no list, gives no names."""
     lists = F.from_json(without_code_fence(F.col(answer)), "persons array<string>, organizations array<string>")
     rows = answers.select("document_id", lists.alias("n"))
-    kinds = {"person": "n.persons", "organization": "n.organizations"}
-    each = F.flatten(F.array(*(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x, k=k: F.struct(F.lit(k).alias("kind"), F.trim(x).alias("name"))) for k, c in kinds.items())))
+
+    def listed(kind: str, field: str) -> Column:
+        return F.transform(F.coalesce(F.col(field), F.array().cast("array<string>")), lambda x: F.struct(F.lit(kind).alias("kind"), F.trim(x).alias("name")))
+
+    each = F.concat(listed("person", "n.persons"), listed("organization", "n.organizations"))
     return rows.select("document_id", F.explode(each).alias("e")).select("document_id", "e.*").filter("name <> ''")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions import payments as P
 from leafmill.functions.ids import payment_id
+from leafmill.functions.text import without_code_fence
 
 
 def extracted(texts: DataFrame, key: str, text: str) -> DataFrame:
@@ -60,3 +61,24 @@ def evidence_page(records: DataFrame, chunk_pages: DataFrame) -> DataFrame:
     each = records.select("paystub_id", F.posexplode("evidence_chunk_ids").alias("pos", "chunk_id"))
     joined = each.join(chunk_pages.select("chunk_id", "page_number"), "chunk_id", "left").filter(F.col("page_number").isNotNull())
     return joined.groupBy("paystub_id").agg(F.min_by("page_number", "pos").alias("page_number"))
+
+
+RECORDS = (
+    "records array<struct<document_type: string, pay_period: string, pay_date: string, gross_pay: string, net_pay: string, currency: string,"
+    " items: array<struct<description: string, amount: double, currency: string>>, notes: string, evidence_chunk_ids: array<string>>>"
+)
+
+
+def records_of(answers: DataFrame, answer: str = "answer") -> DataFrame:
+    """(document_id, record_index, record fields): the records of a model's answers, from 1, in order; an answer that is no object with
+    a list of records gives none."""
+    parsed = F.from_json(without_code_fence(F.col(answer)), RECORDS)
+    rows = answers.select("document_id", F.posexplode(parsed["records"]).alias("_i", "r"))
+    return rows.filter(F.col("r").isNotNull()).select("document_id", (F.col("_i") + 1).alias("record_index"), "r.*")
+
+
+def payments_from(answers: DataFrame, chunk_pages: DataFrame) -> DataFrame:
+    """Payment records ready to be upserted: normalised, with id, validation_status and the page of their evidence."""
+    rows = with_ids(normalised(records_of(answers)), "record_index")
+    rows = rows.withColumn("validation_status", F.when(F.col("notes").isNull(), "valid").otherwise("needs_review"))
+    return rows.join(evidence_page(rows, chunk_pages), "paystub_id", "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.functions.text import cosine_distance, stripped
+from leafmill.functions.text import cosine_distance, stripped, without_code_fence
 
 
 def nearest(vectors: DataFrame, query: list[float], k: int, key: str = "chunk_id", vector: str = "embedding") -> DataFrame:
@@ -48,3 +48,25 @@ def contexts(chunks: DataFrame, group: str, limit: int) -> DataFrame:
     return kept.groupBy(group).agg(
         F.trim(F.array_join(F.transform(parts, lambda x: x["entry"]), "\n")).alias("context"), F.count("*").alias("entries")
     )
+
+
+NO_CHUNKS, NO_ANSWER = "No relevant chunks found.", "No model response."
+
+
+def answer_of(found: DataFrame, query: str, reply: str | None = None) -> DataFrame:
+    """One row: query, chunks_used, chunk_ids, answer, citations, uncertainties: a retrieval's answer.
+
+    `reply` is what a model said to the contexts: a JSON object with answer, citations and uncertainties; without chunks there
+    is no answer, and without a usable reply the row says so.  The retrieval is bounded by its budget."""
+    parsed = F.from_json(without_code_fence(F.lit(reply)), "answer string, citations array<string>, uncertainties array<string>")
+    none = F.array().cast("array<string>")
+    rows = found.agg(F.array_sort(F.collect_list(F.struct("distance", "chunk_id"))).alias("c")).withColumn("r", parsed)
+    ids = F.transform("c", lambda x: x["chunk_id"])
+    return rows.select(
+        F.lit(query).alias("query"),
+        F.size("c").alias("chunks_used"),
+        ids.alias("chunk_ids"),
+        F.when(F.size("c") == 0, NO_CHUNKS).otherwise(F.coalesce("r.answer", F.lit(NO_ANSWER))).alias("answer"),
+        F.when(F.size("c") == 0, none).otherwise(F.coalesce("r.citations", none)).alias("citations"),
+        F.when(F.size("c") == 0, none).otherwise(F.coalesce("r.uncertainties", none)).alias("uncertainties"),
+    )

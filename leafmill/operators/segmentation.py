@@ -64,3 +64,52 @@ def toc_line(summary: str = "summary"):
         part("Amounts", "key_amounts", 3),
         part("Uncertainties", "uncertainties", 2, "; "),
     )
+
+
+NOTHING = "No readable content."
+
+
+def page_range(pages: DataFrame, first: int, last: int) -> DataFrame:
+    return pages.filter(F.col("page_number").between(first, last))
+
+
+def section_lines(index: DataFrame, readable: DataFrame, summaries: DataFrame | None = None) -> DataFrame:
+    """(document_id, segment, line): a line for each segment of `index`: its number, range, dominant type and summary.
+
+    `readable`: document_id, segment of segments with any text; `summaries`: document_id, segment, summary of a model.  A segment
+    without text says so; one with text that no model has summarised says that."""
+    total = F.max("segment").over(Window.partitionBy("document_id"))
+    rows = index.withColumn("total", total).join(readable.select("document_id", "segment", F.lit(True).alias("_held")).distinct(), ["document_id", "segment"], "left")
+    given = F.lit(None).cast("string")
+    if summaries is not None:
+        rows = rows.join(summaries.select("document_id", "segment", "summary"), ["document_id", "segment"], "left")
+        given = F.nullif(F.trim("summary"), F.lit(""))
+    number, first, last = (F.col(c).cast("string") for c in ("segment", "first_page", "last_page"))
+    blank = F.concat(F.lit("[Segment "), number, F.lit(" of "), F.col("total").cast("string"), F.lit(", pages "), first, F.lit("–"), last, F.lit(": no readable content]"))
+    unread = F.concat(F.lit("[Segment "), number, F.lit(": could not summarize]"))
+    said = F.when(F.col("_held").isNull(), blank).otherwise(F.coalesce(given, unread))
+    line = F.concat(F.lit("Section "), number, F.lit(" (pages "), first, F.lit("–"), last, F.lit(", type: "), "dominant_type", F.lit("): "), said)
+    return rows.select("document_id", "segment", line.alias("line"))
+
+
+def document_summaries(routes: DataFrame, sections: DataFrame, flat: DataFrame | None = None, composed: DataFrame | None = None) -> DataFrame:
+    """(document_id, route, summary): segmented documents by their sections, below a model's composed summary if there is one; flat
+    ones by a model's summary; without one, and for documents without chunks, the text that says so.
+
+    A document's sections are one row here, as the summary is one text."""
+    toc = sections.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("segment", "line"))).alias("s"))
+    toc = toc.select("document_id", F.size("s").alias("n"), F.array_join(F.transform("s", lambda x: x["line"]), "\n").alias("toc"))
+    rows = routes.join(toc, "document_id", "left")
+    for name, given in (("_flat", flat), ("_composed", composed)):
+        rows = rows.withColumn(name, F.lit(None).cast("string")) if given is None else rows.join(given.select("document_id", F.col("summary").alias(name)), "document_id", "left")
+    count = F.concat(F.lit("\n\n---\nSections detected: "), F.col("n").cast("string"), F.lit("\n"), "toc")
+    segmented = F.coalesce(F.concat("_composed", count), F.col("toc"))
+    text = F.when(F.col("route") == "segmented", segmented).when(F.col("route") == "flat", F.col("_flat"))
+    return rows.select("document_id", "route", F.coalesce(F.nullif(F.trim(text), F.lit("")), F.lit(NOTHING)).alias("summary"))
+
+
+def changed_summaries(made: DataFrame, stored: DataFrame) -> DataFrame:
+    """The summaries that differ from the stored ones, by hash; only these are written."""
+    same = stored.select("document_id", F.sha2("summary", 256).alias("_h")).distinct()
+    rows = made.withColumn("_h", F.sha2("summary", 256))
+    return rows.join(same, ["document_id", "_h"], "left_anti").drop("_h")

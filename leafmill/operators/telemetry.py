@@ -65,3 +65,39 @@ def fallback_events(pages: DataFrame, stored: DataFrame | None = None) -> DataFr
     )
     rows = rows.dropDuplicates(["event_id"])
     return rows if stored is None else rows.join(stored.select("event_id"), "event_id", "left_anti")
+
+
+def mean_of_means(pages: DataFrame) -> DataFrame:
+    """(documents, mean_confidence): the unweighted mean of the documents' means."""
+    return confidence_means(pages).agg(F.count("mean_confidence").alias("documents"), F.avg("mean_confidence").alias("mean_confidence"))
+
+
+def stage_metrics(attempts: DataFrame, keys: tuple[str, ...] = ("stage", "run_id")) -> DataFrame:
+    """(keys, processed, skipped, failed): what a run did, from its attempts' outcomes; other outcomes count nowhere."""
+    outcome = F.lower(F.trim("outcome"))
+    names = {"processed": "done", "skipped": "skipped", "failed": "failed"}
+    return attempts.groupBy(*keys).agg(*(F.count_if(outcome == v).alias(k) for k, v in names.items()))
+
+
+def call_records(calls: DataFrame) -> DataFrame:
+    """Calls as they are recorded: no negative duration or token count, durations to two digits, null counts as 0."""
+    whole = lambda c: F.greatest(F.lit(0), F.coalesce(F.col(c).cast("long"), F.lit(0)))
+    return calls.withColumns(
+        {
+            "duration_ms": F.round(F.greatest(F.lit(0.0), F.col("duration_ms").cast("double")), 2),
+            "token_input": whole("token_input"),
+            "token_output": whole("token_output"),
+        }
+    )
+
+
+def usage(calls: DataFrame, *keys: str) -> DataFrame:
+    """(keys, calls, token_input, token_output, total_ms): sums over recorded calls."""
+    sums = [F.sum(c).alias(c) for c in ("token_input", "token_output")]
+    return calls.groupBy(*keys).agg(F.count("*").alias("calls"), *sums, F.sum("duration_ms").alias("total_ms"))
+
+
+def without_stages(lines: DataFrame, stages: list[str], column: str = "value") -> DataFrame:
+    """JSON lines without those of some stages; lines that do not parse, or name no stage, stay; blank ones go."""
+    stage = F.get_json_object(column, "$.stage")
+    return lines.filter((F.trim(column) != "") & F.coalesce(~stage.isin(*stages), F.lit(True)))

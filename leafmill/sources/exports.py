@@ -28,6 +28,28 @@ def chat_lines(rows: DataFrame, key: str, order: str, payload: str) -> DataFrame
     return lines.groupBy(key).agg(F.array_join(F.array_compact(F.transform(ordered, lambda x: x["line"])), "\n").alias("text"))
 
 
+def csv_rows(rows: DataFrame, payload: str, header: str) -> DataFrame:
+    """Lines of CSV exports with their fields by name, as the JSON payload that `chat_lines` reads."""
+    fields = ", ".join(f"`{c.strip()}` string" for c in header.split(","))
+    return rows.withColumn(payload, F.to_json(F.from_csv(F.col(payload), fields)))
+
+
+def with_raw_text(lines: DataFrame, raw: DataFrame, key: str) -> DataFrame:
+    """Exports whose messages are blank, with the file's own text in their place."""
+    own = raw.select(key, F.col("text").alias("_raw"))
+    kept = F.coalesce(F.nullif(F.trim("text"), F.lit("")), F.trim("_raw"), F.lit(""))
+    return lines.join(own, key, "left").withColumn("text", kept).drop("_raw")
+
+
+def dispatched(documents: DataFrame, families: dict) -> DataFrame:
+    """Pages of all documents: each family's rows by its own function, in one table; families without a function yield none."""
+    pages = None
+    for family, extract in families.items():
+        own = extract(documents.filter(F.col("doc_family") == family))
+        pages = own if pages is None else pages.unionByName(own, allowMissingColumns=True)
+    return pages
+
+
 def media_segments(documents: DataFrame) -> DataFrame:
     """(document_id, page_id, page_number, start_ms, end_ms, source_pointer, text, confidence): stand-in segments of 30 s
     for audio and video that nothing has transcribed; 30 s where the duration is unknown, 1 s at least."""
@@ -49,11 +71,14 @@ def media_segments(documents: DataFrame) -> DataFrame:
 
 
 def transcribed_segments(documents: DataFrame, segments: str = "segments") -> DataFrame:
-    """Pages of media that a model has transcribed: one per segment of the array column, confidence .8."""
-    each = documents.select("document_id", F.posexplode(segments).alias("i", "s"))
+    """Pages of media that a model has transcribed: one per segment of the array column, confidence .8, as media_segments has them."""
+    each = documents.select("document_id", "doc_family", F.posexplode(segments).alias("i", "s"))
+    frames = F.when(F.col("doc_family") == "video", f";keyframe_every_ms:{KEYFRAME_MS}").otherwise("")
     return each.select(
         "document_id",
         page_id(F.col("document_id"), F.col("i") + 1).alias("page_id"),
+        (F.col("i") + 1).alias("page_number"),
+        F.concat(F.format_string("timestamp:%d-%d", F.col("s.start_ms"), F.col("s.end_ms")), frames).alias("source_pointer"),
         F.col("s.start_ms").alias("start_ms"),
         F.col("s.end_ms").alias("end_ms"),
         F.trim("s.text").alias("text"),

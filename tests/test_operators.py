@@ -267,3 +267,52 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert spark.read.parquet(out).count() == 2
 
 
+
+
+def test_name_lists_keep_strings_of_lists_only(spark):
+    answers = [("a", '{"persons": ["Ann", " ", null], "organizations": "Acme"}'), ("b", "no object"), ("c", None), ("d", '```json\n{"organizations": ["Acme "]}\n```')]
+    assert rows(entities.name_lists(spark.createDataFrame(answers, "document_id string, answer string"))) == [("a", "person", "Ann"), ("d", "organization", "Acme")]
+
+
+def test_sections_and_summaries_of_models_and_without(spark):
+    index = spark.createDataFrame([("d", 1, 1, 3, 3, "table"), ("d", 2, 4, 9, 6, "text")], "document_id string, segment long, first_page int, last_page int, pages long, dominant_type string")
+    readable = spark.createDataFrame([("d", 1)], "document_id string, segment long")
+    given = spark.createDataFrame([("d", 1, "Totals."), ("d", 2, " ")], "document_id string, segment long, summary string")
+    lines = segmentation.section_lines(index, readable, given)
+    assert rows(lines.select("segment", "line")) == [(1, "Section 1 (pages 1–3, type: table): Totals."), (2, "Section 2 (pages 4–9, type: text): [Segment 2 of 2, pages 4–9: no readable content]")]
+    routes = spark.createDataFrame([("d", "segmented"), ("e", "flat"), ("f", "empty"), ("g", "flat")], "document_id string, route string")
+    flat = spark.createDataFrame([("e", "Short."), ("f", "never read")], "document_id string, summary string")
+    composed = spark.createDataFrame([("d", "{}")], "document_id string, summary string")
+    got = {r.document_id: r.summary for r in segmentation.document_summaries(routes, lines, flat, composed).collect()}
+    assert got["d"].startswith("{}\n\n---\nSections detected: 2\nSection 1") and got["e"] == "Short." and got["f"] == got["g"] == "No readable content."
+
+
+def test_answers_of_retrievals(spark):
+    found = spark.createDataFrame([("c2", 0.2), ("c1", 0.1)], "chunk_id string, distance double")
+    reply = '```json\n{"answer": "42", "citations": ["c1"]}\n```'
+    got = retrieval.answer_of(found, "q", reply).first()
+    assert (got.chunk_ids, got.answer, got.citations, got.uncertainties) == (["c1", "c2"], "42", ["c1"], [])
+    assert retrieval.answer_of(found, "q", "nonsense").first().answer == "No model response."
+    none = retrieval.answer_of(found.limit(0), "q", reply).first()
+    assert none.answer == "No relevant chunks found." and none.chunks_used == 0 and none.citations == []
+
+
+def test_catalogue_by_model_or_by_heuristic(spark):
+    labelled = spark.createDataFrame([("a", "1"), ("b", "2")], "label string, document_id string")
+    assert rows(catalogue.built(labelled)) == [("a", "1", "heuristic"), ("b", "2", "heuristic")]
+    fallback = spark.createDataFrame([("1", "x", "fallback", "0_0")], "document_id string, label string, source string, batch string")
+    assert rows(catalogue.built(labelled, fallback)) == rows(catalogue.built(labelled))
+    given = spark.createDataFrame([("1", "Shifts", "model", "0_0"), ("2", "shifts", "model", "0_1"), ("3", "x", "fallback", "0_1")], "document_id string, label string, source string, batch string")
+    assert rows(catalogue.built(labelled, given)) == [("shifts", "1", "llm_map_reduce"), ("shifts", "2", "llm_map_reduce"), ("x", "3", "llm_map_reduce")]
+
+
+def test_exports_fall_back_to_their_text(spark):
+    raw = spark.createDataFrame([("a", "date,sender,message"), ("b", " just words ")], "k string, text string")
+    lines = spark.createDataFrame([("a", "[1] x: y"), ("b", "")], "k string, text string")
+    assert rows(exports.with_raw_text(lines, raw, "k")) == [("a", "[1] x: y"), ("b", "just words")]
+
+
+def test_transcribed_segments_have_pointers(spark):
+    docs = spark.createDataFrame([("d", "video", [(0, 900, " hello ")])], "document_id string, doc_family string, segments array<struct<start_ms:long,end_ms:long,text:string>>")
+    got = exports.transcribed_segments(docs).first()
+    assert (got.page_id, got.page_number, got.source_pointer, got.text, got.confidence) == ("d_p0001", 1, "timestamp:0-900;keyframe_every_ms:15000", "hello", 0.8)
