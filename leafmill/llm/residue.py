@@ -41,6 +41,15 @@ lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor inc
 ut enim ad minim veniam quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat
 duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur
 excepteur sint occaecat cupidatat non proident sunt in culpa qui officia deserunt mollit anim id est laborum
+cras mattis consectetur purus sit amet fermentum. donec id elit non mi porta gravida at eget metus. nulla vitae elit libero, a pharetra augue.
+vestibulum id ligula porta felis euismod semper. maecenas sed diam eget risus varius blandit sit amet non magna. aenean lacinia bibendum nulla sed consectetur.
+cum sociis natoque penatibus et magnis dis parturient montes, nascetur ridiculus mus. integer posuere erat a ante venenatis dapibus posuere velit aliquet.
+curabitur blandit tempus porttitor. praesent commodo cursus magna, vel scelerisque nisl consectetur et. morbi leo risus, porta ac consectetur ac, vestibulum at eros.
+etiam porta sem malesuada magna mollis euismod. nullam quis risus eget urna mollis ornare vel eu leo. duis mollis, est non commodo luctus, nisi erat porttitor ligula.
+pellentesque habitant morbi tristique senectus et netus et malesuada fames ac turpis egestas. sed ut perspiciatis unde omnis iste natus error sit voluptatem accusantium doloremque.
+fusce dapibus, tellus ac cursus commodo, tortor mauris condimentum nibh, ut fermentum massa justo sit amet risus. vivamus sagittis lacus vel augue laoreet rutrum faucibus dolor auctor.
+phasellus viverra, suspendisse potenti, quisque rhoncus, mauris tincidunt, in hac habitasse platea dictumst, proin sodales libero, ut imperdiet ipsum ultricies.
+(bacon|hipster|cupcake|pirate) ipsum dolor amet (pork belly short ribs brisket|swine tenderloin sirloin|meatball jerky ham hock pancetta|gluten-free artisan tattooed|tart muffin jelly-o candy canes).
 (insert|add|put|write|enter|type|place|paste) (your|a short|some|the) (text|wording|introduction|description|title|copy|content|paragraph) (here|later|before release|in this box).
 (insert|add|put|write|type|paste) (your|a short|some) (summary|heading|caption|message|body text) (here|before printing|below|in this space).
 (your|body|main) (text|copy|content) goes here (your|body|main) (text|copy|content) goes here
@@ -95,6 +104,11 @@ page not found. the page you (requested|are looking for) (does not exist|could n
 seite nicht gefunden. die angeforderte (akte|seite|datei) ist nicht mehr (vorhanden|verfügbar). zugriff verweigert. (es ist ein|interner) fehler aufgetreten.
 accès refusé. votre demande n’a pas abouti (réf. 0000). page introuvable. une erreur est survenue. le document demandé n’existe plus.
 acceso denegado. no tiene permiso para (abrir|ver) este documento. página no encontrada. se ha producido un error.
+permission denied. you do not have (permission|the rights) to open the (folder|item|record). you are not authorised to view this.
+(whoops|oh no|sorry|oops|uh oh), (that|this|it) didn't work. (our engineers|our team|the administrators) (have|has) been notified. we are working on (it|a fix).
+erreur (interne du serveur|du serveur|000). le service est (temporairement indisponible|indisponible). veuillez réessayer (plus tard|ultérieurement). la page demandée est introuvable.
+error (interno del servidor|del servidor|000). el servicio no está disponible. (inténtelo de nuevo|vuelva a intentarlo) más tarde.
+(interner serverfehler|serverfehler|fehler 000). der dienst ist (zurzeit|derzeit|vorübergehend) nicht (verfügbar|erreichbar). bitte versuchen sie es später erneut.
 ページが見つかりません。アクセスが拒否されました。エラーが発生しました。
 """
 
@@ -169,7 +183,7 @@ SPOKEN_OF = re.compile(
 #: What an error message beside a script notice must hold; the two share many n-grams.
 ERROR_CUE = re.compile(
     r"(?i)\b[45]\d\d\b|error|denied|expired|removed|failed|went wrong|too many|not (?:available|found|allowed)|maintenance|could not"
-    r"|does not exist|traceback|exception|password|fehler|nicht (?:gefunden|mehr)|refus|introuvable|erreur|denegad|encontrad"
+    r"|does not exist|didn't work|indisponible|no está disponible|traceback|exception|password|fehler|nicht (?:gefunden|mehr)|refus|introuvable|erreur|denegad|encontrad"
 )
 #: What a script notice must name.
 SCRIPT_CUE = re.compile(r"(?i)script|skript|\bjs\b|active content|スクリプト|скрипт")

@@ -19,6 +19,11 @@ CASES = [
     ("Bitte aktivieren Sie JavaScript, um die Akte anzuzeigen.", ["script_notice"]),
     ("502 Bad Gateway\nupstream closed the connection\nScripts are blocked, so the page viewer cannot be shown.", ["error_page", "script_notice"]),
     ("Lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor.", ["filler"]),
+    ("Cras mattis consectetur purus sit amet fermentum. Donec id elit non mi porta gravida at eget metus.", ["filler"]),
+    ("Bacon ipsum dolor amet pork belly short ribs brisket, meatball jerky ham hock pancetta.", ["filler"]),
+    ("Whoops, that didn't work. Our engineers have been notified.", ["error_page"]),
+    ("Erreur interne du serveur. Le service est temporairement indisponible, veuillez réessayer plus tard.", ["error_page"]),
+    ("Interner Serverfehler. Bitte versuchen Sie es später erneut.", ["error_page"]),
     ("Heading\n\n" + "Insert your text here.\n" * 3, ["filler"]),
     ("Title\n\n" + "zob zoba zobf zob zob zoba " * 6, ["filler"]),
     (PROSE + "Dear {{first_name}}, the total is due.", ["placeholder"]),
