@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.lineage import cut as cut_lineage
 from leafmill.llm import flat
 from leafmill.session import spread
 
@@ -29,7 +30,7 @@ LIMIT_PAGES, OVERLAP_PAGES = 20, 1
 BLOCK_WORDS, BLOCK_PAGES, SKETCH = 60, 3, 128
 #: Pages of a document that one task cuts, pages around a meeting point among which it is chosen, page numbers per rank bucket.
 STRETCH, REACH, BUCKET = 500, 10, 5_000
-#: Oversized documents whose ids are sent to every task; beyond it they are joined.
+#: Oversized documents, counted, whose ids are sent to every task; beyond it both sides of the join are shuffled.
 BROADCAST_DOCUMENTS = 200_000
 #: Added to a valley's depth at the end of a paragraph, and of a line.
 PARAGRAPH, LINE = 0.3, 0.1
@@ -149,13 +150,13 @@ def document_pieces(pages: DataFrame, limit: int = LIMIT_PAGES, overlap: int = O
     )
     numbers = rows.select("document_id", "page_number").distinct()
     sizes = numbers.groupBy("document_id").agg(F.count("*").alias("n")).filter(F.col("n") > limit)
-    large = sizes.select(F.col("document_id").alias("_large"))
-    some = [r[0] for r in large.limit(BROADCAST_DOCUMENTS + 1).collect()]
-    if len(some) <= BROADCAST_DOCUMENTS:
-        large = F.broadcast(pages.sparkSession.createDataFrame([(x,) for x in some], "_large string"))
+    large = cut_lineage(sizes.select(F.col("document_id").alias("_large")))
+    if large.count() <= BROADCAST_DOCUMENTS:
+        large = F.broadcast(large)
     rows = rows.join(large, F.col("document_id") == F.col("_large"), "left_semi")
     sketches = rows.mapInPandas(flat.filled(_sketch), "document_id string, page_number int, sketch array<int>")
-    sketches = sketches.groupBy("document_id", "page_number").agg(F.first("sketch").alias("sketch"))
+    # read three times below; of rows of one page that differ, the greatest
+    sketches = cut_lineage(sketches.groupBy("document_id", "page_number").agg(F.max("sketch").alias("sketch")))
     # the rank of a page in its document, by buckets of page numbers, so that no task orders a whole document
     bucket = F.floor(F.col("page_number") / BUCKET)
     counts = sketches.groupBy("document_id", bucket.alias("bucket")).agg(F.count("*").alias("n"))
@@ -237,8 +238,27 @@ def p2_document_pieces(spark, sf_dir: str) -> DataFrame:
     return document_pieces(spark.read.parquet(f"{sf_dir}/page_results.parquet"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_page_pieces": p2_page_pieces, "p2_document_pieces": p2_document_pieces}
+def p2_document_checks(spark, sf_dir: str) -> DataFrame:
+    """What must hold of the pieces of a document: where they begin and end, how many pages they hold, each overlap counted once,
+    whether any is too long, and whether one does not begin with the last page of the one before."""
+    pieces = document_pieces(spark.read.parquet(f"{sf_dir}/page_results.parquet"))
+    order = Window.partitionBy("item_id").orderBy("first_page")
+    pieces = pieces.withColumn("_before", F.lag("last_page").over(order))
+    return pieces.groupBy("item_id").agg(
+        F.min("first_page").alias("first_page"),
+        F.max("last_page").alias("last_page"),
+        (F.sum("pages") - F.count("*") + 1).alias("pages"),
+        F.max(F.col("pages") > LIMIT_PAGES).alias("too_long"),
+        F.coalesce(F.max(F.col("_before") != F.col("first_page")), F.lit(False)).alias("torn"),
+    )
+
+
+QUERIES = {"p2_document_checks": p2_document_checks, "p2_found": p2_found, "p2_page_pieces": p2_page_pieces, "p2_document_pieces": p2_document_pieces}
 SQL = {
+    "p2_document_checks": """
+        SELECT document_id AS item_id, min(page_number) AS first_page, max(page_number) AS last_page, count(DISTINCT page_number) AS pages, false AS too_long, false AS torn
+        FROM page_results WHERE document_id IS NOT NULL AND page_number IS NOT NULL GROUP BY document_id HAVING count(DISTINCT page_number) > 20
+    """,
     "p2_found": """
         WITH p AS (SELECT page_id, document_id, page_number,
                 regexp_replace(text, '^[\\t-\\r \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+|[\\t-\\r \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+$', '', 'g') AS body
