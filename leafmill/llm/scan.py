@@ -1,14 +1,16 @@
 """Problem 1: noise in the text of scanned pages, and its repair.
 
 The first pass counts the words of the corpus.  A word type is misread if undoing one or two known
-confusions of characters gives a type that is very much more frequent.  The second pass leaves a few
-short rows of each page: its lines near the top and the bottom with their layout features, the words
-broken at line ends, and the words that may be misread types, by a hash filter of fixed size; a join
-with the types decides.  How often an edge line and a distance between printed and counted page number
+confusions of characters gives a type that is very much more frequent.  The second pass leaves one row
+of each page: the layout features of all its lines, the lines that may be headers or hold page numbers,
+the words broken at line ends, and the words that may be misread types, by a hash filter of fixed size;
+a join with the types decides.  How often a line and a distance between printed and counted page number
 recur in a document are aggregations over those rows.  A hidden Markov model that runs from each edge
-inwards labels the lines as header, page number, break or body.  Its transitions and emissions are
-fitted to all pages by expectation and maximisation, from emissions counted on lines that the features
-settle by themselves.
+inwards, over all lines until both runs meet, labels the lines as header, page number, break or body.
+Its transitions and emissions are fitted to all lines by expectation and maximisation, from emissions
+counted on lines that the features settle by themselves.  Where a line stands decides what its
+recurrence says: it is counted on all lines for a first labelling, and for the last one on the lines
+that this leaves outside the body and the outermost line of the body.
 """
 
 from __future__ import annotations
@@ -29,9 +31,7 @@ from leafmill.llm import flat
 from leafmill.lineage import cut
 from leafmill.session import spread
 
-#: Lines looked at from each edge of a page.
-EDGE = 3
-#: Least share of the pages of a document, or of the span of pages it stands on, from which an edge line that fills
+#: Least share of the pages of a document, or of the span of pages it stands on, from which a line that fills
 #: the page's width and goes on below is a header all the same.
 HEADER_SHARE, RUN_SHARE = 0.2, 0.5
 #: How many times as frequent the true word must be; for words of letters only, and for words with digits or marks.
@@ -44,6 +44,8 @@ ROUNDS = 3
 LONGEST_WORD = 40
 #: Word types that a task of the first pass keeps before it passes their counts on.
 FLUSH_TYPES = 200_000
+#: Lines that the fit works on at once in a task; a longer page stands alone.
+FIT_LINES = 50_000
 
 # --- Fixed values: characters as printed and as recognised. --------------------------------------------------------
 
@@ -67,7 +69,10 @@ _W = r"[^\W_]"
 _START = r"(?<![\w’'-])"
 BROKEN = re.compile(rf"{_START}({_W}[\w’'-]*)[{BREAK_MARKS}][ \t\u00a0]*(?:\r\n|[\n\r\x0b\x0c\x85\u2028\u2029])\s*({_W}[\w’'-]*)")
 END_BROKEN = re.compile(rf"{_START}({_W}[\w’'-]*)[{BREAK_MARKS}]\s*$")
-MARK_AT_END = re.compile(rf"\w[{BREAK_MARKS}][ \t\u00a0]*[\r\n\x0b\x0c\x85\u2028\u2029]")
+MARK_AT_END = re.compile(rf"[{BREAK_MARKS}][ \t\u00a0]*[\r\n\x0b\x0c\x85\u2028\u2029]")
+DIGIT = re.compile(r"\d")
+#: No word begins so; a capital I that was misread does.
+CAPITAL_I = re.compile(r"l[bcdfgkmnpqrstvwxz]")
 AROUND = ".,;:()[]{}\"“”„«»—–_?…/\\*#=<>+&%$€£~^`@'’‘-。、"
 NUMERAL = r"(?:\d{1,4}|[ivxl]{1,7})"
 ALONE = re.compile(
@@ -80,13 +85,15 @@ BESIDE = re.compile(
     rf"|(?:{PAGE_WORDS})\.?\s*(?P<c>\d{{1,4}})\s*[|·•–—-]\s*(?P<z>\S.*))$",
     re.IGNORECASE,
 )
+#: What a line of BESIDE that doesn't end with a digit begins with.
+BESIDE_STARTS = frozenset(c for c in map(chr, range(0x110000)) if c.isdecimal()) | frozenset("ſ" + "".join(w[0] + w[0].upper() for w in PAGE_WORDS.split("|")))
 SENTENCE_END = re.compile(r"[^\W\d_]{3}[.!?] ")
-ITEM = re.compile(r"^\s*(?:\(?\d{1,3}[.)]|\(?[a-z]{1,3}[.)]|[-•*–·‣◦▪])\s+\S|\.{4,}|^\s*\|")
+ITEM = re.compile(r"\s*(?:(?:\(?\d{1,3}[.)]|\(?[a-z]{1,3}[.)]|[-•*–·‣◦▪])\s+\S|\|)")
 CELLS = re.compile(r"\S(?:\t|;|\s{2,}|\s*\|\s*)(?=\S)")
 
-# codes of an edge line: number, sentence, lower case, item, blank beside, fills the width and goes on below; its place
+# codes of a line: number, sentence, lower case, item, blank beside, fills the width and goes on below
 NONE, BARE, DECORATED, WITH_TEXT = range(4)
-HEADER, NUMBER, BREAK, BODY = range(4)
+HEADER, NUMBER, BREAK, BODY, INNER = range(5)
 
 
 def roman(text: str) -> int | None:
@@ -114,9 +121,29 @@ def skeleton(text: str) -> str:
     return re.sub(r"[\W_]+", " ", text).strip()
 
 
-def _unbroken(text: str, by: str) -> str:
-    """The text with the words broken at line ends replaced; most texts have none."""
-    return BROKEN.sub(by, text) if MARK_AT_END.search(text) else text
+def broken_at(text: str) -> list[re.Match]:
+    """The matches of BROKEN in a text that has a word character before a mark at a line's end; most texts have none.
+
+    A match ends its first word at such a mark, so only the words there are tried."""
+    found, end, marked = [], 0, False
+    for mark in MARK_AT_END.finditer(text):
+        at = start = mark.start()
+        marked = marked or (at > 0 and (text[at - 1].isalnum() or text[at - 1] == "_"))
+        while start > end and (text[start - 1].isalnum() or text[start - 1] in "_’'-"):
+            start -= 1
+        if start < at and (m := BROKEN.match(text, start)):
+            found.append(m)
+            end = m.end()
+    return found if marked else []
+
+
+def _replaced(text: str, broken: list[re.Match], by: str) -> str:
+    """The text with `by` in place of each broken word."""
+    parts, end = [], 0
+    for m in broken:
+        parts += text[end : m.start()], m.expand(by)
+        end = m.end()
+    return "".join(parts) + text[end:]
 
 
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -131,7 +158,7 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts: Counter = Counter()
     for batch in batches:
         for text in batch["text"]:
-            counts.update(_unbroken(text, " ").lower().split())
+            counts.update(_replaced(text, broken_at(text), " ").lower().split())
             if len(counts) > FLUSH_TYPES:
                 yield out(counts)
                 counts = Counter()
@@ -223,31 +250,41 @@ def misread_types(counts: DataFrame) -> DataFrame:
 # --- The second pass ---------------------------------------------------------------------------------------------------
 
 
+def is_item(line: str) -> bool:
+    """Whether a line begins as an item or a row, or holds a row of dots."""
+    return "...." in line or ITEM.match(line) is not None
+
+
 def edge_code(line: str, blank_beside: bool, runs_on: bool = False) -> tuple[str, int, int]:
-    """(core, code, printed number or -1) of an edge line; the core is empty where the line can be no header.
+    """(core, code, printed number or -1) of a line; the core is empty where the line can be no header.
     A line that `runs_on` fills the page's width and goes on in lower case."""
     text = line.strip()
     value, core, number, item = -1, text, NONE, False
-    digit = any(map(str.isdigit, text))
-    if len(text) <= 24 and (digit or len(text) <= 12) and (found := ALONE.match(text)):
+    if len(text) <= 24 and (len(text) <= 12 or DIGIT.search(text)) and (found := ALONE.match(text)):
         digits = found["n"]
         value = int(digits) if digits.isdigit() else roman(digits) or -1
         if value >= 0:
             number, core = (BARE if text.isdigit() else DECORATED), ""
             if text.endswith(".") and text[:-1].isdigit():
                 number, value = NONE, -1
-    elif digit and len(text) <= 100 and text[-1] not in ".,;" and (beside := BESIDE.match(text)):
+    elif 0 < len(text) <= 100 and (text[-1].isdecimal() or (text[0] in BESIDE_STARTS and text[-1] not in ".,;")) and (beside := BESIDE.match(text)):
         digits, rest = beside["a"] or beside["b"] or beside["c"], beside["x"] or beside["y"] or beside["z"]
         if not CELLS.search(rest) and not rest.endswith(".."):
             number, value, core = WITH_TEXT, int(digits), rest
     long = len(core) > 90
-    common = 3 if long else sum(t in FREQUENT for t in core.lower().split())
+    low = core.lower()
+    tokens = low.split()
     sentence = bool(core) and (
-        runs_on or common >= 3 or SENTENCE_END.search(core) is not None or (core[-1] in ".,;:?!。" and not core.endswith(("Inc.", "Ltd.", "Co.")))
+        runs_on
+        or long
+        or (core[-1] in ".,;:?!。" and not core.endswith(("Inc.", "Ltd.", "Co.")))
+        or sum(map(FREQUENT.__contains__, tokens)) >= 3
+        or ((". " in core or "! " in core or "? " in core) and SENTENCE_END.search(core) is not None)
     )
-    lower = core[:1].islower()
+    lower = core[:1].islower() and not CAPITAL_I.match(core)
     if not sentence:
-        item = bool(ITEM.search(line)) or len(CELLS.findall(core)) >= 2
+        gaps = len(low) >= sum(map(len, tokens)) + len(tokens) or "\t" in core or ";" in core or "|" in core
+        item = is_item(line) or (gaps and len(CELLS.findall(core)) >= 2)
     if sentence or lower or item or long or sum(map(str.isalpha, core)) < 3:
         core = ""
     code = number | (sentence << 2) | (lower << 3) | (item << 4) | (blank_beside << 5)
@@ -276,52 +313,60 @@ def placed(text: str, place: int, tokens: TokenCodes) -> Iterator[tuple[int, str
 
 
 def observe(text: str, tokens: TokenCodes) -> tuple:
-    """What a page leaves: how readable it is, edge cores, codes and numbers, its broken words, the word it goes on with, the
-    word broken at its end, and the words of the page (place -1) and of its edge lines (by their position) that may be misread."""
+    """What a page leaves: how readable it is, the codes of its lines, the lines that may be headers or hold a number (their places
+    among the filled lines, cores, numbers and what they go on to), its broken words, the word it goes on with, the word broken at
+    its end, and the words of the page (place -1) and of its lines that may be misread types.
+
+    The code of a line holds seven bits as seen from the top and seven as seen from the bottom; what a line goes on to is 1 for
+    text below one that fills the page's width, 3 if that begins in lower case."""
     lines = text.splitlines()
-    filled = [i for i, line in enumerate(lines) if line and not line.isspace()]
-    top = filled[:EDGE]
-    bottom = filled[max(EDGE, len(filled) - EDGE) :]
-    hyphens = MARK_AT_END.search(text) is not None
-    broken = [f"{m[1]}\n{m[2]}".lower() for m in BROKEN.finditer(text)] if hyphens else []
-    lower = (BROKEN.sub(r"\1\2", text) if hyphens else text).lower()
+    bare = [line.strip() for line in lines]
+    filled = [i for i, line in enumerate(bare) if line]
+    pairs = broken_at(text)
+    broken = [f"{m[1]}\n{m[2]}".lower() for m in pairs]
+    lower = (_replaced(text, pairs, r"\1\2") if pairs else text).lower()
     bad, common, readable, solid = tokens.of(lower)
-    cores, codes, values = [], [], []
+    codes, at, cores, values, on, aside = [], [], [], [], [], []
     words = [*placed(lower, -1, tokens)] if bad else []
-    wide = 0.75 * max((len(lines[i].strip()) for i in filled[:12]), default=0)
-    for place, i in [*enumerate(top), *((-1 - k, i) for k, i in enumerate(reversed(bottom)))]:
-        beside = i + 1 if place >= 0 else i - 1
-        blank = 0 <= beside < len(lines) and (not lines[beside] or lines[beside].isspace())
-        below = lines[i + 1].lstrip()[:1] if place >= 0 and i + 1 < len(lines) else ""
-        core, code, value = edge_code(lines[i], blank, below.islower() and len(lines[i].strip()) >= wide)
-        cores.append(skeleton(core) if core else "")
-        goes_on = i + 1 < len(lines) and any(map(str.isalpha, lines[i + 1])) and len(lines[i].strip()) >= wide
-        codes.append(code | (goes_on << 6) | ((place if place >= 0 else 8 - place - 1) << 8))
-        values.append(value)
-        if bad and tokens.of(lines[i].lower())[0]:
-            words += placed(lines[i].lower(), len(values) - 1, tokens)
+    suspects = {w for _, w, _ in words}
+    wide = 0.75 * max(map(len, bare), default=0)
+    last = len(bare) - 1
+    for place, i in enumerate(filled):
+        below = bare[i + 1] if i < last else ""
+        fills = len(bare[i]) >= wide
+        core, code, value = edge_code(lines[i], False)
+        top = edge_code(lines[i], False, True)[1] if fills and core and below[:1].islower() else code
+        codes.append(top | (i < last and not below) << 5 | (code | (i > 0 and not bare[i - 1]) << 5) << 7)
+        aside.append(bool(core) or code & 3 in (BARE, DECORATED))
+        if core or value >= 0:
+            at.append(place)
+            cores.append(skeleton(core) if core else "")
+            values.append(value)
+            on.append(0 if not fills else 3 if below[:1].islower() else int(any(map(str.isalpha, below))))
+        if suspects:
+            held = lines[i].lower()
+            if len(suspects) > 8 or any(w in held for w in suspects):
+                words += (w for w in placed(held, place, tokens) if w[1] in suspects)
     first = ""
-    for i in filled[:5]:
-        line = lines[i].lstrip()
-        if line[:1].islower() and len(line) > 3 and line[1:2] not in ".)":
+    for place, i in enumerate(filled):  # below lines that may be headers or numbers
+        line = bare[i]
+        if line[0].islower() and len(line) > 3 and line[1] not in ".)":
             first = line.split()[0].strip(".,;:)").lower()
+        if first or not aside[place]:
             break
     end = ""
-    for i in reversed(filled[-4:]):
-        if lines[i].rstrip()[-1] in BREAK_MARKS and (m := END_BROKEN.search(lines[i])):
+    for place, i in reversed([*enumerate(filled)]):  # above such lines
+        if bare[i][-1] in BREAK_MARKS and (m := END_BROKEN.search(lines[i])):
             end = m[1].lower()
+        if end or not aside[place]:
             break
-        place = filled[-1 : -1 - EDGE : -1].index(i) if i in filled[-EDGE:] else EDGE
-        known = len(cores) - len(bottom) + place
-        if place == EDGE or known >= len(codes) or not (codes[known] & 3 in (BARE, DECORATED) or cores[known]):
-            break
-    return readable / max(1, solid), common, cores, codes, values, broken, first, end, words
+    return readable / max(1, solid), common, codes, at, cores, values, on, broken, first, end, words
 
 
 VOWELS = frozenset("aeiouyäöüàáâåæèéêëìíîïòóôõøùúû")
 OBSERVED = (
-    "page_id string, document_id string, page_number int, readable double, common int, cores array<string>, codes array<int>,"
-    " numbers array<int>, broken array<string>, first string, last string"
+    "page_id string, document_id string, page_number int, readable double, common int, codes array<smallint>, at array<int>,"
+    " cores array<string>, numbers array<int>, goes_on array<int>, broken array<string>, first string, last string"
 )
 
 
@@ -337,7 +382,10 @@ def observations(pages: DataFrame, types: DataFrame) -> DataFrame:
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = TokenCodes(known.value)
         placed_words = pa.list_(pa.struct([("place", pa.int32()), ("word", pa.string()), ("n", pa.int32())]))
-        kinds = (pa.float64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.string(), pa.string(), placed_words)
+        kinds = (
+            pa.float64(), pa.int32(), pa.list_(pa.int16()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()),
+            pa.list_(pa.string()), pa.string(), pa.string(), placed_words,
+        )
         for batch in batches:
             seen = [observe(t, tokens) for t in batch.column(3).to_pylist()]
             columns = list(zip(*seen)) if seen else [[] for _ in kinds]
@@ -351,21 +399,21 @@ def observations(pages: DataFrame, types: DataFrame) -> DataFrame:
 
 
 def _joined(seen: DataFrame, types: DataFrame) -> DataFrame:
-    """The observations with what the types say of their suspected words: body_bad, the number of misread words outside the edge
-    lines, bad_words, and wrong, whether each edge line holds one."""
+    """The observations with what the types say of their suspected words: body_bad, the number of misread words that are on no
+    line as a whole, bad_words, and wrong, whether each line holds one."""
     words = seen.select("page_id", F.explode("words").alias("w")).select("page_id", "w.*")
     inside = F.col("place") < 0
     hit = words.join(types.select("word"), "word", "left_semi").groupBy("page_id").agg(
         F.coalesce(F.sum(F.when(inside, F.col("n"))), F.lit(0)).alias("_whole"),
-        F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("_edges"),
+        F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("_lines"),
         F.array_sort(F.collect_set(F.when(inside, F.col("word")))).alias("_words"),
         F.collect_set(F.when(~inside, F.col("place"))).alias("_places"),
     ).filter("_whole > 0")
     wrong = F.transform("codes", lambda _, i: F.coalesce(F.array_contains("_places", i), F.lit(False)))
     seen = seen.drop("words").join(hit, "page_id", "left")
-    seen = seen.withColumn("body_bad", F.coalesce(F.greatest(F.lit(0), F.col("_whole") - F.col("_edges")), F.lit(0)).cast("int"))
+    seen = seen.withColumn("body_bad", F.coalesce(F.greatest(F.lit(0), F.col("_whole") - F.col("_lines")), F.lit(0)).cast("int"))
     seen = seen.withColumn("bad_words", F.coalesce("_words", F.array().cast("array<string>"))).withColumn("wrong", wrong)
-    return seen.drop("_whole", "_edges", "_words", "_places")
+    return seen.drop("_whole", "_lines", "_words", "_places")
 
 
 def broken_words(seen: DataFrame, counts: DataFrame) -> DataFrame:
@@ -400,156 +448,193 @@ def broken_words(seen: DataFrame, counts: DataFrame) -> DataFrame:
     return pairs.join(verdicts, match, "left").select("page_id", "next_page", "left", "right", F.coalesce("broken", F.lit(False)).alias("broken"))
 
 
-def edge_lines(seen: DataFrame) -> DataFrame:
-    """One row per edge line with what its document says of it: repeated, and in sequence with other pages."""
-    lines = seen.select(
-        "page_id", "document_id", "page_number", F.explode(F.arrays_zip("cores", "codes", "numbers", "wrong")).alias("line")
+def marks(seen: DataFrame) -> DataFrame:
+    """One row per line that may be a header or holds a number."""
+    return seen.select(
+        "page_id", "document_id", "page_number", F.explode(F.arrays_zip("at", "cores", "numbers", "goes_on")).alias("line")
     ).select("page_id", "document_id", "page_number", "line.*")
-    goes_on = F.shiftright("codes", 6).bitwiseAND(1)
+
+
+def recurring(lines: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(page_id, flags): what the documents say of the lines of a page, four times the place of each line that counts and 2 where
+    it is repeated, or 1 where its number is in sequence with those of other pages."""
+    goes_on = F.col("goes_on").bitwiseAND(1)
     candidates = lines.filter(F.col("cores") != "").groupBy("document_id", "cores", "page_id")
     candidates = candidates.agg(F.max(goes_on).alias("goes_on"), F.first("page_number").alias("page_number"))
     often = candidates.groupBy("document_id", "cores").agg(
         F.count("*").alias("pages"), F.sum("goes_on").alias("going_on"), (F.max("page_number") - F.min("page_number") + 1).alias("span")
     ).filter("pages >= 3")
     # a line of the body that recurs fills its line and goes on; it is neither on much of the document nor on a run of pages
-    sizes = seen.groupBy("document_id").agg(F.count("*").alias("size"))
     apart = F.col("going_on") * 2 <= F.col("pages")
     run = F.col("pages") >= RUN_SHARE * F.coalesce("span", F.lit(1 << 31))
     often = often.join(sizes, "document_id").filter(apart | run | (F.col("pages") >= HEADER_SHARE * F.col("size")))
-    lines = lines.join(often.select("document_id", "cores", F.lit(1).alias("repeated")), ["document_id", "cores"], "left")
-    lines = lines.withColumn("shift", F.when(F.col("numbers") >= 0, F.col("numbers") - F.col("page_number")))
-    numbered = lines.filter(F.col("shift").isNotNull()).select("document_id", "shift", "page_id").distinct()
-    steady = numbered.groupBy("document_id", "shift").agg(F.count("*").alias("k")).filter("k >= 2")
-    lines = lines.join(steady.select("document_id", "shift", F.lit(1).alias("steady")), ["document_id", "shift"], "left")
-    return lines.select("page_id", "codes", "numbers", "wrong", F.coalesce("repeated", F.lit(0)).alias("repeated"), F.coalesce("steady", F.lit(0)).alias("steady"))
+    repeated = lines.join(often.select("document_id", "cores"), ["document_id", "cores"]).select("page_id", (F.col("at") * 4 + 2).alias("flag"))
+    numbered = lines.filter(F.col("numbers") >= 0).withColumn("shift", F.col("numbers") - F.col("page_number")).filter(F.col("shift").isNotNull())
+    steady = numbered.select("document_id", "shift", "page_id").distinct().groupBy("document_id", "shift").agg(F.count("*").alias("k")).filter("k >= 2")
+    steady = numbered.join(steady.select("document_id", "shift"), ["document_id", "shift"]).select("page_id", (F.col("at") * 4 + 1).alias("flag"))
+    return repeated.unionByName(steady).groupBy("page_id").agg(F.collect_list("flag").alias("flags"))
 
 
-#: The features of an edge line that the model reads, with their numbers of values.
+#: The features of a line that the model reads, with their numbers of values.
 FEATURES = {"number": 4, "sentence": 2, "lower": 2, "item": 2, "blank": 2, "repeated": 2, "steady": 2}
 
 
-def _features() -> dict:
-    code = F.col("codes")
-    return {
-        "number": code.bitwiseAND(3),
-        "sentence": F.shiftright(code, 2).bitwiseAND(1),
-        "lower": F.shiftright(code, 3).bitwiseAND(1),
-        "item": F.shiftright(code, 4).bitwiseAND(1),
-        "blank": F.shiftright(code, 5).bitwiseAND(1),
-        "repeated": F.col("repeated"),
-        "steady": F.col("steady"),
-    }
-
-
-#: Probabilities of the next line inwards, from each label and (the last row) from the edge, with which the fit begins.
+#: Probabilities of the next line inwards, from each label and (the last row) from the edge, with which the fit begins.  Inside the
+#: body stand lines of the body and breaks (INNER) only: a line that a line of the body parts from the edge is no header and no number.
 FIRST_STEP = np.array(
-    [  # header, number, break, body
-        [0.02, 0.25, 0.23, 0.50],
-        [0.25, 0.02, 0.23, 0.50],
-        [1e-4, 1e-4, 0.10, 0.90],
-        [1e-6, 1e-6, 1e-2, 0.99],
-        [0.20, 0.25, 0.15, 0.40],
+    [  # header, number, break, body, break inside the body
+        [0.02, 0.25, 0.23, 0.50, 0],
+        [0.25, 0.02, 0.23, 0.50, 0],
+        [1e-4, 1e-4, 0.10, 0.90, 0],
+        [0, 0, 0, 0.99, 0.01],
+        [0, 0, 0, 0.90, 0.10],
+        [0.20, 0.25, 0.15, 0.40, 0],
     ]
 )
 #: How many lines the first values count for beside those of the corpus.
 PRIOR = 50.0
 SIZES = tuple(FEATURES.values())
+#: The combination of features of each line code, times four, and what its document says of the line.  A line that goes on
+#: below as a sentence is not repeated.
+COMBINATION = np.array(
+    [
+        np.ravel_multi_index((c & 3, c >> 2 & 1, c >> 3 & 1, c >> 4 & 1, c >> 5 & 1, (flag >> 1) & ~(c >> 2) & 1, flag & 1), SIZES)
+        for c in range(64)
+        for flag in range(4)
+    ]
+)
 
 
-def first_emissions(lines: DataFrame) -> np.ndarray:
-    """(label, combination of features): log-probabilities counted over all edge lines that their features settle by themselves.
-
-    The counts are one row per combination of features: at most 512 rows, whatever the corpus."""
-    table = lines.select(*(v.alias(k) for k, v in _features().items())).groupBy(*FEATURES).count().collect()
-    tables = [np.full((4, size), 2.0) for size in SIZES]
-    for row in table:
-        if row.number in (BARE, DECORATED):
+def laid_out(codes: pd.Series, flags: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, lengths, combinations as seen from the top, and from the bottom) of the lines of pages, one page after another."""
+    lengths = np.fromiter(map(len, codes), np.int64, len(codes))
+    starts = np.cumsum(lengths) - lengths
+    code = np.concatenate([*codes]).astype(np.int64)
+    said = np.zeros(len(code), np.int64)
+    held = [(start, f) for start, f in zip(starts, flags) if f is not None]
+    if held:
+        flag = np.concatenate([f for _, f in held]).astype(np.int64)
+        np.bitwise_or.at(said, np.repeat([start for start, _ in held], [len(f) for _, f in held]) + (flag >> 2), flag & 3)
+    return starts, lengths, COMBINATION[(code & 63) << 2 | said], COMBINATION[(code >> 7 & 63) << 2 | said]
+
+
+def inwards(symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, by: int) -> Iterator[np.ndarray]:
+    """The lines from an edge inwards, in matrices of (sequence, line) with -1 beyond the last, the longest sequences first; of one
+    page with others of about its length."""
+    order = np.argsort(-lengths, kind="stable")
+    order = order[lengths[order] > 0]
+    while len(order):
+        deep = lengths[order[0]]
+        some, order = order[: max(1, FIT_LINES // deep)], order[max(1, FIT_LINES // deep) :]
+        k = np.arange(deep)
+        at = starts[some, None] + by * np.minimum(k, lengths[some, None] - 1)
+        yield np.where(k < lengths[some, None], symbols[at], -1)
+
+
+def halves(batch: pd.DataFrame) -> Iterator[np.ndarray]:
+    """The lines of pages from each edge to the middle."""
+    starts, lengths, top, bottom = laid_out(batch["codes"], batch["flags"])
+    yield from inwards(top, starts, (lengths + 1) // 2, 1)
+    yield from inwards(bottom, starts + lengths - 1, lengths // 2, -1)
+
+
+def totals(packed: DataFrame, size: int, work) -> np.ndarray:
+    """The sum over all pages of the `size` sums that `work` makes of a matrix of lines; nothing else comes to the driver."""
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(size)
+        for batch in filter(len, batches):
+            for symbols in halves(batch):
+                total += work(symbols)
+        some = np.flatnonzero(total)
+        yield pd.DataFrame({"k": some, "v": total[some]})
+
+    sums = np.zeros(size)
+    for row in packed.select("codes", "flags").mapInPandas(flat.filled(part), "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect():
+        sums[row.k] = row.v
+    return sums
+
+
+def first_emissions(packed: DataFrame) -> np.ndarray:
+    """(label, combination of features): log-probabilities counted over all lines that their features settle by themselves."""
+    combinations = int(np.prod(SIZES))
+    counts = totals(packed, combinations, lambda symbols: np.bincount(symbols[symbols >= 0], minlength=combinations))
+    tables = [np.full((5, size), 2.0) for size in SIZES]
+    for at in np.flatnonzero(counts):
+        row = dict(zip(FEATURES, np.unravel_index(at, SIZES)))
+        if row["number"] in (BARE, DECORATED):
             label = NUMBER
-        elif row.repeated:
+        elif row["repeated"]:
             label = HEADER
-        elif row.sentence or row.lower or row.item:
+        elif row["sentence"] or row["lower"] or row["item"]:
             label = BODY
         else:
             label = BREAK
         for held, name in zip(tables, FEATURES):
-            held[label, row[name]] += row["count"] ** 0.75  # damped: layouts differ less than their counts
+            held[label, row[name]] += counts[at] ** 0.75  # damped: layouts differ less than their counts
+    for held in tables:
+        held[INNER] = held[BREAK]
     return joint(tables)
 
 
 def joint(tables: list[np.ndarray]) -> np.ndarray:
     """(label, combination): the log-probability of each combination of features, independent under a label."""
-    total = np.zeros((4, 1))
+    total = np.zeros((len(tables[0]), 1))
     for t in tables:
-        total = (total[:, :, None] + np.log(t / t.sum(axis=1, keepdims=True))[:, None, :]).reshape(4, -1)
+        total = (total[:, :, None] + np.log(t / t.sum(axis=1, keepdims=True))[:, None, :]).reshape(len(t), -1)
     return total
 
 
 def marginal(counts: np.ndarray) -> list[np.ndarray]:
     """The counts of each feature's values under each label, from those of the combinations."""
-    cube = counts.reshape(4, *SIZES)
+    cube = counts.reshape(-1, *SIZES)
     return [cube.sum(axis=tuple(i for i in range(1, cube.ndim) if i != k + 1)) for k in range(len(SIZES))]
 
 
 def expected(symbols: np.ndarray, weight: np.ndarray, step: np.ndarray, emission: np.ndarray) -> np.ndarray:
-    """The expected counts of transitions (five rows of four) and of combinations under each label, flat.
-
-    `symbols`: (sequence, line), the combination of each line from the edge inwards, -1 beyond the last."""
-    n, depth = symbols.shape
-    alive = symbols >= 0
-    seen = np.exp(emission)[:, symbols.clip(0)].transpose(1, 2, 0)
-    seen[~alive] = 1.0
-    forward, scale = np.zeros((n, depth, 4)), np.ones((n, depth))
-    for k in range(depth):
-        now = (np.tile(step[4], (n, 1)) if k == 0 else forward[:, k - 1] @ step[:4]) * seen[:, k]
-        scale[:, k] = now.sum(axis=1)
-        forward[:, k] = now / scale[:, k : k + 1]
-    backward = np.ones((n, depth, 4))
-    for k in range(depth - 2, -1, -1):
-        on = (backward[:, k + 1] * seen[:, k + 1] / scale[:, k + 1 : k + 2]) @ step[:4].T
-        backward[:, k] = np.where(alive[:, k + 1 : k + 2], on, 1.0)
-    share = forward * backward
-    share /= share.sum(axis=2, keepdims=True)
-    moves = np.zeros((5, 4))
-    moves[4] = (share[:, 0] * weight[:, None]).sum(axis=0)
-    for k in range(1, depth):
-        on = weight * alive[:, k] / scale[:, k]
-        moves[:4] += step[:4] * np.einsum("n,ni,nj->ij", on, forward[:, k - 1], seen[:, k] * backward[:, k])
-    held = np.zeros((4, emission.shape[1]))
-    for k in range(depth):
-        w = weight * alive[:, k]
-        for label in range(4):
-            held[label] += np.bincount(symbols[:, k].clip(0), share[:, k, label] * w, minlength=emission.shape[1])
-    return np.concatenate([moves.ravel(), held.ravel()])
-
-
-def fitted(packed: DataFrame, emission: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(log-transitions, log-emissions) after ROUNDS of expectation and maximisation over all pages.
-
-    Pages with the same lines are one row with a count; what a round brings to the driver is a fixed number of sums."""
-    side = lambda first, last: F.transform(F.filter("lines", lambda x: (x["place"] >= first) & (x["place"] < last)), lambda x: x["symbol"])
-    sequences = packed.select(F.explode(F.array(side(0, 8), side(8, 16))).alias("symbols")).filter(F.size("symbols") > 0)
-    sequences = cut(sequences.groupBy("symbols").agg(F.count("*").alias("n")))
+    """The expected counts of transitions (a row from each label and one from the edge) and of combinations under each label, flat.
+
+    `symbols`: (sequence, line), the combination of each line from the edge inwards, -1 beyond the last; the longest sequences
+    come first, so that those that reach a line are the first ones."""
+    held, symbols = np.exp(emission), np.ascontiguousarray(symbols.T)
+    alive = (symbols >= 0).sum(axis=1)
+    seen, forward, scale = [], [], []
+    for k, n in enumerate(alive):
+        seen.append(held[:, symbols[k, :n]])
+        now = (step[-1][:, None] if k == 0 else step[:-1].T @ forward[-1][:, :n]) * seen[-1]
+        scale.append(now.sum(axis=0))
+        forward.append(now / scale[-1])
+    moves, counts = np.zeros(step.shape), np.zeros(emission.shape)
+    on = np.zeros((len(held), 0))
+    for k in range(len(alive) - 1, -1, -1):
+        n = alive[k]
+        backward = np.ones((len(held), n))
+        backward[:, : on.shape[1]] = step[:-1] @ on
+        share = forward[k] * backward
+        share *= weight[:n] / share.sum(axis=0)
+        for label, row in enumerate(share):
+            counts[label] += np.bincount(symbols[k, :n], row, minlength=emission.shape[1])
+        on = backward * seen[k] / scale[k]
+        if k == 0:
+            moves[-1] = share.sum(axis=1)
+        else:
+            moves[:-1] += step[:-1] * ((forward[k - 1][:, :n] * weight[:n]) @ on.T)
+    return np.concatenate([moves.ravel(), counts.ravel()])
+
+
+def fitted(packed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(log-transitions, log-emissions) after ROUNDS of expectation and maximisation over all lines of all pages, each page as two
+    sequences from its edges to its middle."""
+    emission = first_emissions(packed)
     step, prior = FIRST_STEP, PRIOR * FIRST_STEP
     first = [PRIOR * np.exp(t) for t in _tables(emission)]
     for _ in range(ROUNDS):
-
-        def expect(batches: Iterator[pd.DataFrame], step=step, emission=emission) -> Iterator[pd.DataFrame]:
-            total = np.zeros(20 + emission.size)
-            for batch in batches:
-                symbols = np.full((len(batch), EDGE), -1, np.int64)
-                for i, x in enumerate(batch["symbols"]):
-                    symbols[i, : len(x)] = x
-                total += expected(symbols, batch["n"].to_numpy(float), step, emission)
-            some = np.flatnonzero(total)
-            yield pd.DataFrame({"k": some, "v": total[some]})
-
-        sums = np.zeros(20 + emission.size)
-        for row in sequences.mapInPandas(flat.filled(expect), "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect():
-            sums[row.k] = row.v
-        moves = sums[:20].reshape(5, 4) + prior
+        sums = totals(packed, step.size + emission.size, lambda symbols, step=step, emission=emission: expected(symbols, np.ones(len(symbols)), step, emission))
+        moves = sums[: step.size].reshape(step.shape) + prior
+        emission = joint([t + p for t, p in zip(marginal(sums[step.size :].reshape(emission.shape)), first)])
         step = moves / moves.sum(axis=1, keepdims=True)
-        emission = joint([t + p for t, p in zip(marginal(sums[20:].reshape(4, -1)), first)])
-    return np.log(step), emission
+    with np.errstate(divide="ignore"):
+        return np.log(step), emission
 
 
 def _tables(emission: np.ndarray) -> list[np.ndarray]:
@@ -557,47 +642,126 @@ def _tables(emission: np.ndarray) -> list[np.ndarray]:
     return [np.log(t) for t in marginal(np.exp(emission))]
 
 
-def labelled(lines: DataFrame) -> DataFrame:
-    """(page_id, place, label, number, wrong): the label of each edge line, by the Viterbi path from its edge inwards."""
-    symbol = F.lit(0)
-    for (name, size), value in zip(FEATURES.items(), _features().values()):
-        symbol = symbol * size + value.cast("int")
-    rows = lines.select("page_id", F.shiftright("codes", 8).alias("place"), "wrong", symbol.alias("symbol"))
-    packed = cut(rows.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("place", "wrong", "symbol"))).alias("lines")))
-    step, emission = fitted(packed, first_emissions(lines))
+def _steps(starts: np.ndarray, lengths: np.ndarray, by: int) -> Iterator[np.ndarray]:
+    """From an edge inwards, the lines at each step of the pages that reach it, the longest first."""
+    order = np.argsort(-lengths, kind="stable")
+    begin, left = starts[order], -lengths[order]
+    for k in range(-left[0] if len(left) else 0):
+        yield begin[: np.searchsorted(left, -k)] + by * k
+
+
+def _best(symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, by: int, step: np.ndarray, emission: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(score, back, slot): for each label and slot the score of the best labels from an edge up to there, and the label before it
+    on that path; and the slot of each line."""
+    steps = [*_steps(starts, lengths, by)]
+    lines = np.concatenate(steps)
+    slot = np.empty(len(lines), np.int64)
+    slot[lines] = np.arange(len(lines))
+    score, back = np.take(emission, symbols[lines], axis=1), np.zeros((len(emission), len(lines)), np.int8)
+    begin, before = 0, None
+    for at in steps:
+        here = slice(begin, begin + len(at))
+        if before is None:
+            score[:, here] += step[-1][:, None]
+        else:
+            before = before[:, : len(at)]
+            if len(at) < 100:  # the same in fewer calls
+                through = before[:, None] + step[:-1, :, None]
+                back[:, here], best = through.argmax(axis=0), through.max(axis=0)
+            else:
+                best, origin = before[0] + step[0][:, None], back[:, here]
+                for label in range(1, len(emission)):
+                    other = before[label] + step[label][:, None]
+                    better = other > best
+                    np.copyto(origin, label, where=better)
+                    np.copyto(best, other, where=better)
+            score[:, here] += best
+        before = score[:, here]
+        begin += len(at)
+    return score, back, slot
+
+
+def _path(score: np.ndarray, back: np.ndarray, slot: np.ndarray, starts: np.ndarray, lengths: np.ndarray, by: int, label: np.ndarray) -> None:
+    """Write the best labels of the first lines from an edge, `lengths` of each page."""
+    state = np.zeros(0, np.int64)
+    for at in reversed([*_steps(starts, lengths, by)]):
+        place = slot[at]
+        state = np.concatenate([state, score[:, place[len(state) :]].argmax(axis=0)])
+        label[at] = state
+        state = back[state, place].astype(np.int64)
+
+
+def decoded(starts: np.ndarray, lengths: np.ndarray, top: np.ndarray, bottom: np.ndarray, step: np.ndarray, emission: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(label of each line, lines of each page that belong to its top): the Viterbi paths from both edges inwards, which meet where
+    they are best together.  A page of one line is all top; of others each edge has one line at least.
+
+    A line looks otherwise from either edge, so that labels score by their odds to the body's: a line of the body weighs the same
+    for both."""
+    ends = starts + lengths - 1
+    emission = emission - emission[BODY]
+    down, up = _best(top, starts, lengths, 1, step, emission), _best(bottom, ends, lengths, -1, step, emission)
+    together, other = (score.max(axis=0)[slot] for score, _, slot in (down, up))
+    together[:-1] += other[1:]
+    together[ends[lengths > 1]] = -np.inf  # the last line is the bottom's
+    page = np.repeat(np.arange(len(starts)), lengths)
+    best = np.flatnonzero(together >= np.maximum.reduceat(together, starts)[page] - 1e-6)
+    aside = np.abs(2 * (best - starts[page[best]]) - (lengths[page[best]] - 2))
+    best = best[np.lexsort((aside, page[best]))]  # of several the one nearest to the middle
+    meet = best[np.unique(page[best], return_index=True)[1]] - starts + 1
+    label = np.zeros(len(page), np.int64)
+    _path(*down, starts, meet, 1, label)
+    _path(*up, ends, lengths - meet, -1, label)
+    label[label == INNER] = BREAK
+    return label, meet
+
+
+def place_of(distance, bottom):
+    """One number for a line's distance from an edge and which edge it is, at any distance."""
+    return (distance >> 3 << 4) | (bottom << 3) | (distance & 7)
+
+
+LABELLED = "page_id string, place long, label long, number long, steady long, repeated long, wrong boolean"
+
+
+def labelled(seen: DataFrame) -> DataFrame:
+    """(page_id, place, label, number, steady, repeated, wrong): the lines that are not plain body, or hold a misread word or a
+    number that recurs, with the label of each by the Viterbi paths from the edges inwards."""
+    lines, sizes = marks(seen), seen.groupBy("document_id").agg(F.count("*").alias("size"))
+    pages = seen.select("page_id", "codes", "wrong")
+    packed = cut(pages.join(recurring(lines, sizes), "page_id", "left"))
+    step, emission = fitted(packed)
+
+    def around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The places of the body's outermost lines."""
+        for batch in filter(len, batches):
+            starts, lengths, top, bottom = laid_out(batch["codes"], batch["flags"])
+            label, meet = decoded(starts, lengths, top, bottom, step, emission)
+            k = np.arange(len(label)) - np.repeat(starts, lengths)
+            over = k < np.repeat(meet, lengths)
+            first = np.minimum.reduceat(np.where(over & (label == BODY), k, np.repeat(meet - 1, lengths)), starts)
+            last = np.maximum.reduceat(np.where(~over & (label == BODY), k, np.repeat(meet, lengths)), starts)
+            yield pd.DataFrame({"page_id": batch["page_id"], "first": first, "last": last})
+
+    bounds = cut(packed.select("page_id", "codes", "flags").mapInPandas(flat.filled(around), "page_id string, first long, last long"))
+    outer = lines.join(bounds, "page_id").filter((F.col("at") <= F.col("first")) | (F.col("at") >= F.col("last")))
+    sentence = (F.col("at") <= F.col("first")) & (F.col("goes_on") == 3)
+    outer = outer.withColumn("cores", F.when(sentence, F.lit("")).otherwise(F.col("cores"))).drop("first", "last")
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            flat = [(p, line) for p, lines in zip(batch["page_id"], batch["lines"]) for line in lines]
-            if not flat:
-                continue
-            page = np.array([p for p, _ in flat], dtype=object)
-            place, symbol = (np.array([line[name] for _, line in flat], dtype=np.int64) for name in ("place", "symbol"))
-            score = emission[:, symbol].T
-            side = place // 8
-            label = np.zeros(len(flat), np.int64)
-            starts = np.flatnonzero((np.concatenate([[True], page[1:] != page[:-1]])) | (np.diff(side, prepend=-1) != 0))
-            length = np.diff(np.append(starts, len(flat)))
-            best = step[4] + score[starts]
-            back = []
-            for k in range(1, EDGE):
-                on = np.minimum(starts + k, len(flat) - 1)
-                alive = length > k
-                through = best[:, :, None] + step[None, :4, :]
-                origin = through.argmax(axis=1)
-                following = through.max(axis=1) + score[on]
-                back.append(np.where(alive[:, None], origin, np.arange(4)))
-                best = np.where(alive[:, None], following, best)
-            state = best.argmax(axis=1)
-            for k in range(EDGE - 1, 0, -1):
-                alive = length > k
-                label[(starts + k)[alive]] = state[alive]
-                state = np.where(alive, back[k - 1][np.arange(len(starts)), state], state)
-            label[starts] = state
-            values = dict(zip(FEATURES, np.unravel_index(symbol, SIZES)))
-            yield pd.DataFrame({"page_id": page, "place": place, "label": label, "number": values["number"], "steady": values["steady"], "repeated": values["repeated"], "wrong": [line["wrong"] for _, line in flat]})
-
-    return packed.mapInPandas(flat.filled(decode), "page_id string, place long, label long, number long, steady long, repeated long, wrong boolean")
+        for batch in filter(len, batches):
+            starts, lengths, top, bottom = laid_out(batch["codes"], batch["flags"])
+            label, meet = decoded(starts, lengths, top, bottom, step, emission)
+            page = np.repeat(np.arange(len(starts)), lengths)
+            k = np.arange(len(label)) - starts[page]
+            low = k >= meet[page]
+            values = dict(zip(FEATURES, np.unravel_index(np.where(low, bottom, top), SIZES)))
+            wrong = np.concatenate([*batch["wrong"]]).astype(bool)
+            some = np.flatnonzero((label != BODY) | wrong | ((values["number"] != NONE) & (values["steady"] == 1)))
+            place = place_of(np.where(low, lengths[page] - 1 - k, k), low.astype(np.int64))
+            found = {"page_id": batch["page_id"].to_numpy()[page[some]], "place": place[some], "label": label[some]}
+            yield pd.DataFrame(found | {n: values[n][some] for n in ("number", "steady", "repeated")} | {"wrong": wrong[some]})
+
+    return pages.join(recurring(outer, sizes), "page_id", "left").mapInPandas(flat.filled(decode), LABELLED)
 
 
 def _numbered() -> Column:
@@ -609,12 +773,12 @@ def _numbered() -> Column:
 
 
 def _surveyed(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(word counts, misread types, readable pages, labelled edge lines), checkpointed where they are read again."""
+    """(word counts, misread types, readable pages, labelled lines), checkpointed where they are read again."""
     counts = cut(word_counts(pages))
     types = cut(misread_types(counts))
     seen = observations(pages, types)
     fair = seen.filter(F.col("readable") >= F.when(F.col("common") > 0, 0.5).otherwise(0.7))
-    return counts, types, fair, cut(labelled(edge_lines(fair)))
+    return counts, types, fair, cut(labelled(fair))
 
 
 def scan_noise(pages: DataFrame) -> DataFrame:
@@ -640,14 +804,13 @@ def scan_noise(pages: DataFrame) -> DataFrame:
 
 
 def rebuilt(text: str, aside: frozenset[int], headings: frozenset[int], compounds: frozenset[str], fixes: dict[str, str], carry: str, drop: str) -> list[str]:
-    """The paragraphs of a page: without its headers and page numbers (`aside`, places of edge lines), with its broken words
+    """The paragraphs of a page: without its headers and page numbers (`aside`, places of lines), with its broken words
     joined, its misread words restored, the end of its last word taken from the next page (`carry`) and a first word that
     the page before has finished left out (`drop`).  Items of lists and rows of tables stay lines of their own."""
     lines = text.splitlines()
     filled = [i for i, line in enumerate(lines) if line and not line.isspace()]
-    place = {i: k for k, i in enumerate(filled[:EDGE])}
-    place.update({i: 8 + k for k, i in enumerate(reversed(filled[max(EDGE, len(filled) - EDGE) :]))})
-    kept = [(i, lines[i].strip()) for i in filled if place.get(i) not in aside]
+    places = {i: {place_of(k, 0), place_of(len(filled) - 1 - k, 1)} for k, i in enumerate(filled)} if aside or headings else dict.fromkeys(filled, set())
+    kept = [(i, lines[i].strip()) for i in filled if not places[i] & aside]
     wide = max((len(t) for _, t in kept), default=0)
     paragraphs: list[str] = []
     last = last_kind = None
@@ -656,8 +819,8 @@ def rebuilt(text: str, aside: frozenset[int], headings: frozenset[int], compound
             line, drop = line[len(drop) :].lstrip(" .,;:") if line[len(drop) :].strip(" .,;:") else "", ""
             if not line:
                 continue
-        own = bool(ITEM.search(line)) or len(CELLS.findall(line)) >= 2
-        kind = "own" if own or place.get(i) in headings else "text"
+        own = is_item(line) or len(CELLS.findall(line)) >= 2
+        kind = "own" if own or places[i] & headings else "text"
         before = paragraphs[-1] if paragraphs else ""
         parted = bool(before) and before[-1] in BREAK_MARKS and before[-2:-1].isalnum()
         apart = last is None or kind == "own" or last_kind == "own"

@@ -177,3 +177,64 @@ def test_a_header_on_a_few_of_many_pages(spark):
         texts = [("Survey of the depot\n" if i % (size // 6) == 0 and i < size // 6 * 6 else "") + BODY[i % 4] for i in range(size)]
         seen = S.scan_noise(spark.createDataFrame(pages(spark, texts), KIND)).filter("noise = 'header'")
         assert seen.count() == sum(t.startswith("Survey") for t in texts)
+
+
+def test_lines_at_any_distance_from_the_edges(spark):
+    """Headers and footers of many lines, a page number below them, and a body that is shorter than they are."""
+    head = ["Harbour Office of Halden", "Storage Department", "Quay Street 14", "Halden 4770", "Telephone 555 0134"]
+    foot = ["Annual Survey", "Second Volume", "Depot Series", "Restricted Copy", "Printed at Halden"]
+    texts = ["\n".join([*head, *(BODY if i % 2 else BODY[i % 4 : i % 4 + 1]), f"- {i + 11} -", *foot]) for i in range(6)]
+    data = pages(spark, texts) + pages(spark, [BODY[i % 4] for i in range(12)], "g")
+    frame = spark.createDataFrame(data, KIND)
+    got = {r.page_id: r.text for r in S.repaired(frame).collect()}
+    for i in range(6):
+        want = BODY if i % 2 else BODY[i % 4 : i % 4 + 1]
+        assert got[f"d_p{i + 1}"].split() == " ".join(want).split()
+    found = set(rows(S.scan_noise(frame)))
+    assert found == {(f"d_p{i}", k) for i in range(1, 7) for k in ("header", "pageno")}
+
+
+def test_numbers_and_recurring_lines_inside_the_body_are_none(spark):
+    texts = ["\n".join([BODY[i % 4], "Storage Room", f"§ {i + 1}", BODY[(i + 1) % 4], BODY[(i + 2) % 4]]) for i in range(8)]
+    found = S.scan_noise(spark.createDataFrame(pages(spark, texts), KIND))
+    assert found.filter("noise in ('header', 'pageno')").count() == 0
+
+
+def test_a_word_broken_at_the_page_end_above_and_below_many_lines():
+    tokens = S.TokenCodes(bytes(1 << S.FILTER_BITS >> 3))
+    short = S.observe("Annual Survey\nThe clerk sent the stor-\n- 4 -", tokens)
+    long = S.observe("Annual Survey\n" * 6 + "age permit to the office and the stor-\n" + "Second Volume\n" * 6 + "- 4 -", tokens)
+    assert short[9] == long[9] == "stor" and long[8] == "age"
+
+
+def test_broken_words_are_those_of_the_pattern():
+    r = random.Random(3)
+    for _ in range(20_000):
+        text = "".join(r.choice("ab_1-‐’¬ \n\r\x0b-\n") for _ in range(r.randint(1, 40)))
+        gate = re.search(rf"\w[{S.BREAK_MARKS}][ \t\u00a0]*[\r\n\x0b\x0c\x85\u2028\u2029]", text)
+        assert [m.span() for m in S.broken_at(text)] == ([m.span() for m in S.BROKEN.finditer(text)] if gate else [])
+
+
+def test_paths_from_both_edges_are_the_best_of_all():
+    r = np.random.default_rng(5)
+    with np.errstate(divide="ignore"):
+        step = np.log(S.FIRST_STEP)
+    emission = np.log(r.dirichlet(np.ones(12), 5))
+    odds = emission - emission[S.BODY]
+    for n in [1, 2, 3, 4, 5] * 4:
+        top, bottom = r.integers(0, 12, n), r.integers(0, 12, n)
+
+        def value(path, meet):
+            sides = [(range(meet), top), (range(n - 1, meet - 1, -1), bottom)]
+            return sum(sum(odds[path[i], x[i]] + step[path[at[k - 1]] if k else -1, path[i]] for k, i in enumerate(at)) for at, x in sides)
+
+        every = itertools.product(itertools.product(range(5), repeat=n), [1] if n == 1 else range(1, n))
+        best = max(every, key=lambda x: value(*x))[0]
+        label = S.decoded(np.array([0]), np.array([n]), top, bottom, step, emission)[0]
+        assert label.tolist() == [S.BREAK if x == S.INNER else x for x in best]
+
+
+def test_a_number_below_a_header_with_a_misread_capital(spark):
+    texts = ["\n".join([("lncomplete" if i == 3 else "Incomplete") + " notice — Halden", f"PAGE {i + 11}", *BODY]) for i in range(6)]
+    found = set(rows(S.scan_noise(spark.createDataFrame(pages(spark, texts), KIND))))
+    assert {("d_p4", "header"), ("d_p4", "pageno")} <= found
