@@ -112,6 +112,41 @@ def co_mentions(chunks: DataFrame) -> DataFrame:
     )
 
 
+def entity_list(text: Column) -> Column:
+    """The ids of a text's entities in order of first mention, each once; the kinds and order of `mention_list`, no positions."""
+    kinds = []
+    for kind, pattern in PATTERNS.items():
+        values = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+        if kind == "name":
+            values = F.filter(values, lambda x: F.length(x) >= 3)
+        kinds.append(F.transform(values, lambda x: entity_id(F.lit(kind), x)))
+    return F.array_distinct(F.concat(*kinds))
+
+
+def page_edges(chunks: DataFrame) -> DataFrame:
+    """(edge_id, subject_entity_id, predicate, object_entity_id, document_id, page_number): the edges of `co_mentions` once for
+    each page, without evidence.
+
+    Only edges of the same document and page can be equal, so the shuffle takes each chunk's list of ids to its page, and
+    edges are made and compared behind it; none is shuffled.  Pages of one chunk, as most are, have nothing to compare."""
+    page = ["document_id", "page_number"]
+    spark = chunks.sparkSession
+    # edges cost far more than the bytes by which adaptive execution merges small partitions
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    lists = chunks.select(*page, entity_list(F.col("text")).alias("e")).repartition(parts, *page)
+    # behind a window, tests of the list aren't moved to where they would work it out again
+    lists = lists.withColumn("_n", F.count("*").over(Window.partitionBy(*page)))
+
+    def pairs(rows: DataFrame) -> DataFrame:
+        each = rows.select(*page, "e", F.posexplode("e").alias("i", "subject_entity_id"))
+        return each.select(*page, "subject_entity_id", F.explode(F.slice("e", F.col("i") + 2, F.size("e"))).alias("object_entity_id"))
+
+    rows = pairs(lists.filter("_n = 1")).unionAll(pairs(lists.filter("_n > 1")).distinct())
+    nothing = F.lit(None).cast("long")
+    key = edge_id(F.col("subject_entity_id"), F.lit("co_mentioned"), F.col("object_entity_id"), F.col("document_id"), F.col("page_number"), nothing, nothing)
+    return rows.select(key.alias("edge_id"), "subject_entity_id", F.lit("co_mentioned").alias("predicate"), "object_entity_id", *page)
+
+
 def distinct_edges(edges: DataFrame) -> DataFrame:
     """One row per edge id, of the least chunk: overlapping chunks of a page repeat edges."""
     columns = [c for c in edges.columns if c != "edge_id"]

@@ -321,8 +321,12 @@ def _found(spark: SparkSession, sf: str) -> DataFrame:
     return entities.mentions(_folded_chunks(spark, sf))
 
 
+def _folded(spark: SparkSession, sf: str) -> DataFrame:
+    return chunking.chunks(B.pages(spark, sf)).withColumn("text", T.ascii_only(F.col("text"))).select("document_id", "page_number", "chunk_id", "text")
+
+
 def _folded_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    rows = chunking.chunks(B.pages(spark, sf)).withColumn("text", T.ascii_only(F.col("text"))).select("document_id", "page_number", "chunk_id", "text")
+    rows = _folded(spark, sf)
     # pairs cost far more than the bytes by which adaptive execution merges small partitions
     return rows.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
@@ -356,8 +360,7 @@ _PAIRS = f"""(SELECT a.chunk_id, a.document_id, a.page_number, a.entity_id AS s,
 @query(f"""WITH u AS MATERIALIZED (SELECT * FROM {_FOUND} QUALIFY row_number() OVER (PARTITION BY chunk_id, entity_id ORDER BY ordinal) = 1)
     SELECT DISTINCT edge_id, s AS subject_entity_id, o AS object_entity_id, document_id, page_number FROM {_PAIRS}""")
 def co_mention_edges(spark: SparkSession, sf: str) -> DataFrame:
-    made = entities.co_mentions(_folded_chunks(spark, sf))
-    return entities.distinct_edges(made).select("edge_id", "subject_entity_id", "object_entity_id", "document_id", "page_number")
+    return entities.page_edges(_folded(spark, sf)).drop("predicate")
 
 
 @query(f"""WITH u AS MATERIALIZED (SELECT * FROM {_FOUND} QUALIFY row_number() OVER (PARTITION BY chunk_id, entity_id ORDER BY ordinal) = 1)

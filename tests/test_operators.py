@@ -1,8 +1,11 @@
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from leafmill.operators import catalogue, chunking, entities, models, pages, payments, retrieval, segmentation, store, telemetry, viewer
+from leafmill.plans import reference
 from leafmill.sources import exports, files
 from leafmill.streaming.ingest import available_now
 from tests.conftest import rows
@@ -106,6 +109,28 @@ def test_mentions_cards_and_edges(spark):
     assert entities.new_edges(edges, stored).count() == 6
 
 
+def test_edges_of_pages_are_those_of_their_chunks(spark):
+    text = "Anna Berg met Carl on 2024-05-01. Al wrote to anna@x.org and Carl to Dora."
+    other = "Carl told Anna  Berg of 2024-05-01. Dora met Carl, Anna Berg and anna@x.org."
+    data = [("d", 1, "c1", text), ("d", 1, "c2", other), ("d", 1, "c3", text), ("d", 2, "c4", text), ("d", None, "c5", other), ("d", 3, "c6", "Carl"), ("d", 3, "c7", ""), ("d", 3, "c8", None)]
+    frame = spark.createDataFrame(data + [(None, None, "c9", text), (None, None, "c10", other)], "document_id string, page_number int, chunk_id string, text string")
+    made = entities.page_edges(frame)
+    assert made.count() == made.distinct().count() > 0
+    assert rows(made) == rows(entities.co_mentions(frame).select(made.columns).distinct())
+
+
+def test_edges_stay_on_their_page(spark, tmp_path):
+    text = "Anna Berg met Carl and Dora.  "  # 30 characters, so that a chunk begins with a name
+    data = [("a", "d", 1, text * 100, 1), ("a", "d", 1, "Emil met Frieda.", 2), ("b", None, None, text, 1), ("c", "None", None, text, 1), ("e", "d", 1, "Dora met Carl.", 1), ("f", "d", 2, None, 1), ("g", "d", 2, " ", 1)]
+    spark.createDataFrame(data, "page_id string, document_id string, page_number int, text string, created_at int").write.parquet(f"{tmp_path}/page_results.parquet")
+    made = reference.QUERIES["co_mention_edges"](spark, str(tmp_path))
+    # a missing document and one that is called None have the same edge ids, as in the SQL, and stay apart
+    got = made.groupBy("document_id", "page_number").count()
+    assert rows(got) == sorted([("d", 1, 4), ("None", None, 3), (None, None, 3)], key=repr)
+    keys = re.findall(r"Exchange \w+\(([^)]*)\)", made._jdf.queryExecution().executedPlan().toString())
+    assert {re.sub(r"#\d+L?|, \d+$", "", k) for k in keys} == {"page_id", "document_id, page_number"}  # no edge is shuffled
+
+
 def test_model_edges_drop_unknown_and_self_edges(spark):
     frame = spark.createDataFrame([("d", 1, "c1", "Anna Berg met Carl.")], "document_id string, page_number int, chunk_id string, text string")
     found = entities.mentions(frame)
